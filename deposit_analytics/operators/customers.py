@@ -21,7 +21,7 @@ def openings(customers: DataFrame, excluded_type: str = EXCLUDED_TYPE, dedupe: b
     would repeat every balance that often. ``dedupe`` keeps one row per
     customer, with the latest opening date.
     """
-    kept = customers.where(F.col("cust_type") != excluded_type)
+    kept = customers.where((F.col("cust_type") != excluded_type) & F.col("custno").isNotNull())
     if dedupe:
         return kept.groupBy("custno").agg(
             F.max("date_opened").alias("date_opened"), F.lit(1).cast("bigint").alias("copies")
@@ -58,16 +58,17 @@ def qualified(
     that opening.
 
     Rows that cannot qualify under any opening are dropped before the join. An
-    opening multiplies the total by its number of copies, so the test before
-    the join uses the largest number of copies there is. With clean customer
-    data that number is 1 and only wealthy customers are joined at all.
+    opening multiplies the total by its number of copies, so the bound before
+    the join is the threshold over the largest number of copies there is,
+    rounded down. With clean customer data that number is 1 and only wealthy
+    customers are joined at all.
     """
-    total = F.col("total")
-    hopeful = columns.reaches(total, threshold, inclusive)
+    total, bound = F.col("total"), F.lit(threshold)
     if not dedupe:
         most = opened.agg(F.max("copies")).scalar()
-        hopeful = hopeful | columns.reaches(total * most, threshold, inclusive)
-    joined = totals_per_opening(balances.where(hopeful), opened, money)
+        bound = F.least(bound, F.call_function("div", bound, most))
+    hopeful = balances.where(columns.reaches(total, bound, inclusive))
+    joined = totals_per_opening(hopeful, opened, money)
     return joined.where(columns.reaches(total, threshold, inclusive)).withColumn(
         "tenure_days", tenure(F.col("snapshot"), F.col("date_opened"))
     )

@@ -1,0 +1,214 @@
+import datetime as dt
+import random
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from deposit_analytics.constants import GROUP_JOB_CODES, PIVOT_JOB_CODES
+from deposit_analytics.functions import tenure
+from deposit_analytics.functions.calendar import Calendar
+from deposit_analytics.plans import wealth
+
+import helpers
+from helpers import rows
+
+DATE = "13970131"
+BIG = "20000000000+"
+AS_OF = dt.date(2018, 4, 21)
+
+
+def pivot(spark, balance_rows, customer_rows, **options):
+    frame = wealth.wealth_pivot(
+        helpers.balances(spark, balance_rows),
+        helpers.customers(spark, customer_rows),
+        **{"money": "bigint", **options},
+    )
+    return rows(frame, "custno", "interest_free", "short_term", "term", "tenure_days")
+
+
+def test_type_filter_and_missing_customers(spark):
+    held = [(c, "0100", BIG, DATE) for c in ("ok", "excluded", "untyped", "unknown", None)]
+    people = [("ok", "01", "950115"), ("excluded", "02", "950115"), ("untyped", None, "950115")]
+    assert pivot(spark, held, people) == [("ok", 20000000000, None, None, 746)]
+
+
+def test_total_counts_every_product_but_only_grouped_ones_are_shown(spark):
+    held = [("a", "0600", BIG, DATE), ("a", "0200", "7+", DATE)]
+    assert pivot(spark, held, [("a", "01", "950115")]) == [("a", None, 7, None, 746)]
+
+
+def test_product_05_is_term_for_the_pivot_and_08_for_the_groups(spark):
+    held = [("a", "01x", BIG, DATE), ("a", "02x", "1+", DATE), ("a", "05x", "5+", DATE), ("a", "08x", "8+", DATE)]
+    people = [("a", "01", "950115")]
+    assert pivot(spark, held, people) == [("a", 20000000000, 1, 5, 746)]
+    grouped = wealth.wealth_by_group(
+        helpers.balances(spark, held), helpers.customers(spark, people), AS_OF, money="bigint"
+    )
+    assert rows(grouped, "custno", "term", "tenure_days") == [("a", 8, 746)]
+
+
+def test_a_missing_group_keeps_a_customer_out_of_the_group_job_only(spark):
+    held = [("a", "01x", BIG, DATE), ("a", "02x", "1+", DATE)]
+    people = [("a", "01", "950115")]
+    grouped = wealth.wealth_by_group(helpers.balances(spark, held), helpers.customers(spark, people), AS_OF)
+    assert grouped.count() == 0
+    assert pivot(spark, held, people) == [("a", 20000000000, 1, None, 746)]
+
+
+def test_two_opening_dates_count_balances_twice_unless_deduped(spark):
+    held, people = [("a", "01x", BIG, DATE)], [("a", "01", "950115"), ("a", "01", "960115")]
+    assert pivot(spark, held, people) == [("a", 40000000000, None, None, 746)]
+    assert pivot(spark, held, people, dedupe_customers=True) == [("a", 20000000000, None, None, 381)]
+
+
+def test_a_repeated_customer_row_doubles_the_total_only(spark):
+    # 6e9 is below the threshold, twice 6e9 is above it.
+    held, people = [("a", "01x", "6000000000+", DATE)], [("a", "01", "950115")] * 2
+    assert pivot(spark, held, people) == [("a", 6000000000, None, None, 746)]
+    assert pivot(spark, held, people, dedupe_customers=True) == []
+    totals = wealth.customer_total(
+        helpers.balances(spark, held), helpers.customers(spark, people), money="bigint"
+    )
+    assert rows(totals) == [("a", DATE, "950115", 12000000000)]
+
+
+def test_thresholds_can_be_negative_or_inclusive(spark):
+    held = [("a", "01x", "5-", DATE), ("b", "01x", "8-", DATE), ("c", "01x", "9-", DATE)]
+    people = [(c, "01", "950115") for c in "abc"] + [("a", "01", "950115")]
+    options = {"sign": "trailing", "threshold": -9}
+    assert [r[0] for r in pivot(spark, held, people, **options)] == ["b"]
+    options["inclusive"] = True
+    assert [r[0] for r in pivot(spark, held, people, **options)] == ["b", "c"]
+
+
+def test_amounts_that_are_no_numbers_are_skipped(spark):
+    held = [("a", "01x", BIG, DATE), ("a", "01x", "+", DATE), ("a", "02x", "+", DATE), ("b", "01x", "+", DATE)]
+    people = [("a", "01", "950115"), ("b", "01", "950115")]
+    assert pivot(spark, held, people) == [("a", 20000000000, None, None, 746)]
+
+
+def test_decimal_money_keeps_fractions(spark):
+    held = helpers.balances(spark, [("a", "01x", "9999999999.25+", DATE), ("a", "02x", "0.25+", DATE)])
+    people = helpers.customers(spark, [("a", "01", "950115")])
+    got = wealth.wealth_pivot(held, people).first()
+    assert (str(got.interest_free), str(got.short_term)) == ("9999999999.25", "0.25")
+
+
+def test_export_is_text_without_exponents(spark):
+    held = helpers.balances(spark, [("a", "01x", "12000000500+", DATE)])
+    people = helpers.customers(spark, [("a", "01", "950115")])
+    out = wealth.export_strings(wealth.wealth_pivot(held, people, money="bigint"), {"snapshot": "day"})
+    assert out.columns == ["custno", "interest_free", "short_term", "term", "tenure_days", "day"]
+    assert all(kind == "string" for _, kind in out.dtypes)
+    assert tuple(out.first()) == ("a", "12000000500", None, None, "746", DATE)
+
+
+# --- random tables against the Python evaluation -----------------------------
+
+DATES = ("13960101", "13960131", "13960201", "13970131")
+
+
+def random_tables(seed):
+    """Tables with repeated customers, odd text, missing types and a hot customer."""
+    random.seed(seed)
+    names = [f"c{i}" for i in range(25)]
+    held = []
+    for _ in range(500):
+        custno = "c0" if random.random() < 0.35 else random.choice([*names, "nobody", None])
+        acno = f"{random.randint(1, 9):02d}{random.randint(0, 99):02d}"
+        text = random.choice(["+", "x+"]) if random.random() < 0.05 else f"{random.randint(0, 900)}{random.choice('+-')}"
+        held.append((custno, acno, text, random.choice(DATES)))
+    people = []
+    for name in names[:22] + [None]:
+        for _ in range(random.choice([1, 1, 1, 2, 3])):
+            opened = random.choice([None, "950115", "960701", "801230"])
+            people.append((name, random.choice(["01", "01", "01", "02", None]), opened))
+    return held, people
+
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("threshold", [500, 2500])
+def test_pivot_against_the_book(spark, seed, threshold):
+    held, people = random_tables(seed)
+    got = wealth.wealth_pivot(
+        helpers.balances(spark, held),
+        helpers.customers(spark, people),
+        threshold=threshold,
+        money="bigint",
+    )
+    want = [
+        row
+        for date in DATES
+        for row in helpers.pivot_one_date(held, people, date, threshold, PIVOT_JOB_CODES)
+    ]
+    assert rows(got) == sorted(want, key=repr)
+    assert want
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_product_rows_add_up_to_the_pivot(spark, seed):
+    held, people = random_tables(seed)
+    tables = helpers.balances(spark, held), helpers.customers(spark, people)
+    options = {"threshold": 500, "money": "bigint"}
+    by_product = wealth.high_value_by_product(*tables, **options)
+    code = F.col("product")
+    again = by_product.groupBy("custno", "snapshot").agg(
+        *[F.sum(F.when(code.isin(*codes), F.col("balance"))).alias(n) for n, codes in PIVOT_JOB_CODES.items()],
+        F.max("tenure_days").alias("tenure_days"),
+    )
+    pivoted = wealth.wealth_pivot(*tables, **options)
+    assert rows(again) == rows(pivoted)
+    customers = wealth.high_value_customers(*tables, **options)
+    assert rows(customers) == rows(pivoted, "custno", "snapshot")
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_groups_and_step_counts_against_the_book(spark, seed):
+    held, people = random_tables(seed)
+    tables = helpers.balances(spark, held), helpers.customers(spark, people)
+    threshold = 900
+
+    def age(opened):
+        if opened is None:
+            return None
+        today = helpers.point("2018", "4", "21") - Fraction("226746.26")
+        return int(today - helpers.point("13" + opened[:2], opened[2:4], opened[4:]))
+
+    want = {
+        date: helpers.by_group_one_date(held, people, date, threshold, GROUP_JOB_CODES, age) for date in DATES
+    }
+    got = wealth.wealth_by_group(*tables, AS_OF, threshold=threshold, money="bigint")
+    assert rows(got) == sorted((row for found in want.values() for row in found), key=repr)
+
+    counts = []
+    for date in DATES:
+        for name, codes in GROUP_JOB_CODES.items():
+            n = len({r[0] for r in held if r[3] == date and r[1][:2] in codes})
+            counts.append((date, name, n))
+        counts += [(date, "tenure", len(people)), (date, "result", len(want[date]))]
+    steps = wealth.step_counts(*tables, threshold=threshold, money="bigint")
+    assert rows(steps, "snapshot", "step", "n") == sorted(counts, key=repr)
+
+
+def test_all_dates_at_once_equal_one_run_per_date(spark):
+    held, people = random_tables(4)
+    tables = helpers.balances(spark, held), helpers.customers(spark, people)
+    calendar = Calendar("13960101", "13960231")
+    options = {"threshold": 500, "money": "bigint"}
+    together = rows(wealth.wealth_pivot(*tables, calendar, **options))
+    single = [
+        row
+        for date in DATES[:3]
+        for row in rows(wealth.wealth_pivot(*tables, Calendar(date, date), **options))
+    ]
+    assert together == sorted(single, key=repr) and together
+
+
+def test_tenure_formula_is_a_parameter(spark):
+    held, people = [("a", "01x", BIG, DATE)], [("a", "01", "950115")]
+    assert pivot(spark, held, people, tenure=tenure.compat_v2)[0][-1] is None
+    assert pivot(spark, held, people, tenure=tenure.compat_v3)[0][-1] == 3650
+    fixed = pivot(spark, held, people, tenure=lambda _, opened: tenure.as_of_date(AS_OF, opened))
+    assert fixed[0][-1] == 746
