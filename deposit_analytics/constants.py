@@ -65,6 +65,24 @@ CUSTOMER_COLUMNS = {
     "DATEOPN": "date_opened",
 }
 
+# Names used here -> column names of the stored result tables.
+GROUP_EXPORT_NAMES = {
+    "custno": "CUSTNO",
+    "interest_free": "MandehGharz",
+    "short_term": "MandehKootah",
+    "term": "MandehModatdar",
+    "tenure_days": "ghedmat",
+    "snapshot": "tarikh",
+}
+PIVOT_EXPORT_NAMES = {
+    "custno": "custno",
+    "interest_free": "gharz",
+    "short_term": "kotah",
+    "term": "boland",
+    "tenure_days": "ghedmat",
+    "snapshot": "tarikh",
+}
+
 # Types for money columns. MONEY is exact for amounts with up to two decimals
 # and 36 whole digits. WHOLE_MONEY halves the cost of the sums and fits tables
 # that hold whole units only.

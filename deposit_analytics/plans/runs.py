@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from deposit_analytics.sources import sinks
 
@@ -15,10 +15,10 @@ def store_snapshots(result: DataFrame, path: str, rerun: bool = True) -> tuple[D
     should read the returned table: it costs a file scan, not the whole report
     again, and losing executors does not bring the report back either.
     """
-    rows, observation = sinks.counted(result, "stored")
+    observation = Observation("stored")
     if rerun:
-        sinks.overwrite_snapshots(rows, path)
+        sinks.overwrite_snapshots(result, path, observation)
     else:
-        sinks.write_parquet(rows, path, "append")
+        sinks.write_parquet(result, path, "append", observation=observation)
     stored = sinks.read_parquet_result(result.sparkSession, path, result.schema)
     return stored, observation.get["rows"]

@@ -22,7 +22,7 @@ def read_balances(
     first: str | None = None,
     last: str | None = None,
     names: Mapping[str, str] = BALANCE_COLUMNS,
-    format: str = "parquet",
+    source: str = "parquet",
 ) -> DataFrame:
     """custno, acno, remaining, snapshot, all text.
 
@@ -30,7 +30,7 @@ def read_balances(
     keep the snapshot as a number: the bounds are then compared with the stored
     type and still reach the files.
     """
-    table = spark.read.format(format).load(path)
+    table = spark.read.format(source).load(path)
     stored = next(column for column, name in names.items() if name == "snapshot")
     kind = table.schema[stored].dataType
     if first is not None:
@@ -44,10 +44,10 @@ def read_customers(
     spark: SparkSession,
     path: str,
     names: Mapping[str, str] = CUSTOMER_COLUMNS,
-    format: str = "parquet",
+    source: str = "parquet",
 ) -> DataFrame:
     """custno, cust_type, date_opened, all text."""
-    return _named(spark.read.format(format).load(path), names)
+    return _named(spark.read.format(source).load(path), names)
 
 
 def register_views(

@@ -14,38 +14,56 @@ MODES = ("append", "overwrite", "ignore", "error")
 BY_SNAPSHOT = ("snapshot",)
 
 
-def _laid_out(result: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def counted(result: DataFrame, observation: Observation) -> DataFrame:
+    """The same rows, counted while an action runs; no second job is needed.
+
+    ``observation.get["rows"]`` holds the count after the action. Put this last,
+    after any shuffle: tasks of an action's last stage count once even when
+    they are repeated after losing an executor, tasks of earlier stages do not.
+    """
+    return result.observe(observation, F.count(F.lit(1)).alias("rows"))
+
+
+def _laid_out(
+    result: DataFrame, partition_by: Sequence[str], observation: Observation | None = None
+) -> DataFrame:
     """Rows of one output folder together, in tasks of about even size.
 
     Without this every task would write a file into every folder. The rebalance
     hint lets adaptive execution split a folder that is too large for one task
     and merge the small ones.
     """
-    if not partition_by:
-        return result
-    return result.hint("rebalance", *[F.col(name) for name in partition_by])
+    if partition_by:
+        result = result.hint("rebalance", *[F.col(name) for name in partition_by])
+    return result if observation is None else counted(result, observation)
 
 
 def write_parquet(
-    result: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = BY_SNAPSHOT
+    result: DataFrame,
+    path: str,
+    mode: str = "append",
+    partition_by: Sequence[str] = BY_SNAPSHOT,
+    observation: Observation | None = None,
 ) -> None:
     """Writes parquet files, one folder per snapshot.
 
-    ``append`` adds the rows even if that snapshot is there already.
+    ``append`` adds the rows even if that snapshot is there already. The rows
+    written are counted in ``observation`` if one is given.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    _laid_out(result, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    rows = _laid_out(result, partition_by, observation)
+    rows.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def overwrite_snapshots(result: DataFrame, path: str) -> None:
+def overwrite_snapshots(result: DataFrame, path: str, observation: Observation | None = None) -> None:
     """Replaces the snapshots that occur in ``result`` and leaves the others.
 
     Running the same dates again gives the same table. A snapshot without rows
     in ``result`` is left as it is, also when an earlier run had rows for it.
     """
     (
-        _laid_out(result, BY_SNAPSHOT)
+        _laid_out(result, BY_SNAPSHOT, observation)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*BY_SNAPSHOT)
@@ -72,16 +90,6 @@ def read_csv_result(spark: SparkSession, path: str, schema: StructType, header:
     return spark.read.schema(schema).option("header", header).option("encoding", "UTF-8").csv(path)
 
 
-def counted(result: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """The same rows, counted while the next action runs.
-
-    ``observation.get["rows"]`` holds the count after that action; no second
-    job is needed for it.
-    """
-    observation = Observation(name)
-    return result.observe(observation, F.count(F.lit(1)).alias("rows")), observation
-
-
 def preview(result: DataFrame, rows: int = 1) -> DataFrame:
     """A few rows to look at, in no particular order."""
     return result.limit(rows)

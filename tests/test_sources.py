@@ -1,6 +1,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from deposit_analytics.plans import runs
@@ -104,8 +105,8 @@ def test_refresh_accepts_a_view(spark):
 
 def test_preview_and_count(spark):
     assert len(sinks.preview(frame(spark, OLD)).collect()) == 1
-    counted, observation = sinks.counted(frame(spark, OLD), "n")
-    counted.collect()
+    observation = Observation("n")
+    sinks.counted(frame(spark, OLD), observation).collect()
     assert observation.get["rows"] == 2
 
 
