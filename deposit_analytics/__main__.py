@@ -50,8 +50,10 @@ def parser() -> argparse.ArgumentParser:
 def report(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
     calendar = Calendar(options.first, options.last, options.day)
     if options.report == "lookback":
+        # Without brackets some products count on every date: no bounds then.
+        bounds = () if options.strict_precedence else lookback.window_bounds(calendar)
         return lookback.lookback_balance(
-            readers.read_balances(spark, options.balances),
+            readers.read_balances(spark, options.balances, *bounds),
             calendar,
             strict_precedence=options.strict_precedence,
             money=options.money,

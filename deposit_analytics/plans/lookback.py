@@ -14,6 +14,15 @@ from deposit_analytics.functions.calendar import Calendar, months_back
 from deposit_analytics.operators import balances as balance_ops
 
 
+def window_bounds(calendar: Calendar, months: int = LOOKBACK_MONTHS) -> tuple[Column, Column]:
+    """First and last snapshot of the window that ends on the calendar's last day.
+
+    Both are literals once optimized, so a filter on them reaches the files.
+    """
+    last = F.lit(calendar.last_day())
+    return months_back(last, months), last
+
+
 def lookback_window(balances: DataFrame, calendar: Calendar, months: int = LOOKBACK_MONTHS) -> DataFrame:
     """from_h, to_h for each calendar day the balance table holds."""
     return (
@@ -53,9 +62,8 @@ def lookback_balance(
     only, which is what ``a OR b AND window`` means when written without
     brackets; the other codes then count on every date.
     """
-    last = F.lit(calendar.last_day())
     accounts = balance_ops.account_projection(balances, money, sign)
-    inside = F.col("snapshot").between(months_back(last, months), last)
+    inside = F.col("snapshot").between(*window_bounds(calendar, months))
     members = {
         name: _member(F.col("product"), codes, inside, strict_precedence) for name, codes in groups.items()
     }

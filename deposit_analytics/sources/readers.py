@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deposit_analytics.constants import BALANCE_COLUMNS, CUSTOMER_COLUMNS
@@ -19,8 +19,8 @@ def _named(table: DataFrame, names: Mapping[str, str]) -> DataFrame:
 def read_balances(
     spark: SparkSession,
     path: str,
-    first: str | None = None,
-    last: str | None = None,
+    first: str | Column | None = None,
+    last: str | Column | None = None,
     names: Mapping[str, str] = BALANCE_COLUMNS,
     source: str = "parquet",
 ) -> DataFrame:

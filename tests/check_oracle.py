@@ -57,7 +57,8 @@ def main() -> int:
     from deposit_analytics.session import build_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("check", "local[8]", 8, **{"spark.ui.enabled": "false"})
+    quiet = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    spark = build_session("check", "local[8]", 8, **quiet)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     bad = 0

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from deposit_analytics.plans import runs
+from deposit_analytics.functions.calendar import Calendar
+from deposit_analytics.plans import lookback, runs
 from deposit_analytics.sources import readers, sinks, tables
 
 import helpers
@@ -125,6 +126,19 @@ def test_readers_rename_and_push_the_bounds(spark, folder, kind):
     assert "other" not in plan
 
 
+def test_lookback_bounds_reach_files_with_numeric_snapshots(spark, folder):
+    spark.createDataFrame(
+        [("a", "01x", "5+", 13961131), ("a", "01x", "6+", 13961130)],
+        "CUSTNO string, ACNO string, REMAININGAMOUNTEFFECTIVE string, HISDATE int",
+    ).write.parquet(folder)
+    calendar = Calendar("13960601", "13970231")
+    table = readers.read_balances(spark, folder, *lookback.window_bounds(calendar))
+    got = lookback.lookback_balance(table, calendar, money="bigint")
+    assert rows(got, "custno", "interest_free") == [("a", 5)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(HISDATE,13961131)" in plan
+
+
 def test_customer_reader(spark, folder):
     spark.createDataFrame(
         [("a", "x", "950115", "01")], "CUSTNO string, name string, DATEOPN string, custype string"
