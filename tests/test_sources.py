@@ -158,3 +158,18 @@ def test_work_folder_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = sinks.work_folder(spark, "x"), sinks.work_folder(spark, "x")
     assert one != two and one.startswith(base.rstrip("/") + "/x-")
+
+
+class FakeSession:
+    """Only the settings of a session."""
+
+    def __init__(self, settings):
+        self.conf = settings
+
+
+def test_work_folder_without_the_setting():
+    assert sinks.work_folder(FakeSession({"spark.master": "local[2]"}), "x").startswith("/")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        sinks.work_folder(FakeSession({"spark.master": "yarn"}), "x")
+    shared = {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://host/shared/"}
+    assert sinks.work_folder(FakeSession(shared), "x").startswith("hdfs://host/shared/x-")
