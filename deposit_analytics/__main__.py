@@ -1,10 +1,9 @@
 """Command line: one report over stored tables, all dates in one job.
 
-    spark-submit ... -m deposit_analytics wealth-pivot \\
-        --balances PATH --customers PATH --first 13960101 --last 13970301 \\
-        --out PATH
+    python -m deposit_analytics wealth-pivot --balances PATH --customers PATH \\
+        --first 13960101 --last 13970301 --out PATH
 
-Run ``python -m deposit_analytics --help`` for every option.
+On a cluster, submit this file and give the package with ``--py-files``.
 """
 
 from __future__ import annotations

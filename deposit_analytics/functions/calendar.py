@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +18,6 @@ from deposit_analytics.constants import (
 )
 
 
-def _two(number: int) -> str:
-    return f"{number:02d}"
-
-
 @dataclass(frozen=True)
 class Calendar:
     """Snapshot dates ``first``..``last`` (``YYYYMMDD``, inclusive).
@@ -51,29 +47,37 @@ class Calendar:
             return snapshot == self.first
         return snapshot.between(self.first, self.last)
 
-    def contains(self, snapshot: Column) -> Column:
+    def dates(self) -> list[str]:
+        """The days as texts; at most 366 for each calendar year."""
+        first = max(int(self.first), self.first_year * 10000)
+        last = min(int(self.last), self.last_year * 10000 + 1299)
+        wanted = range(1, LONG_MONTH + 1) if self.day is None else (int(self.day),)
+        return [
+            str(n) for n in range(first, last + 1) if n % 100 in wanted and n % 100 <= self._length(n // 100)
+        ]
+
+    def _length(self, year_month: int) -> int:
+        """Days in a month given as ``YYYYMM``; 0 if there is no such month."""
+        year, month = divmod(year_month, 100)
+        if not 1 <= month <= 12:
+            return 0
+        if month == 12:
+            return LAST_MONTH + (year in self.leap_years)
+        return LONG_MONTH if month <= 6 else SHORT_MONTH
+
+    def contains(self, column: str = "snapshot") -> Column:
         """True for the days of this calendar.
 
-        A plain predicate instead of a join: the range part is pushed to the
-        files, and on a table partitioned by snapshot the whole of it prunes
-        partitions before any file is opened.
+        A predicate instead of a join: the range part is pushed to the files,
+        the days are one hash lookup per row, and on a table partitioned by
+        snapshot all of it prunes partitions before any file is opened. The
+        days are bounded by the calendar, not by the data.
         """
-        year, month = F.substring(snapshot, 1, 4), F.substring(snapshot, 5, 2)
-        day = F.substring(snapshot, 7, 2)
-        known = (
-            (F.length(snapshot) == 8)
-            & year.isin([str(y) for y in range(self.first_year, self.last_year + 1)])
-            & month.isin([_two(m) for m in range(1, 13)])
-        )
-        days = [_two(d) for d in range(1, LONG_MONTH + 1)]
-        length_ok = (
-            F.when(month <= "06", True)
-            .when(month <= "11", day <= _two(SHORT_MONTH))
-            .when(year.isin([str(y) for y in self.leap_years]), day <= _two(LAST_MONTH + 1))
-            .otherwise(day <= _two(LAST_MONTH))
-        )
-        chosen = day.isin(days) if self.day is None else day == self.day
-        return self.in_range(snapshot) & known & chosen & length_ok
+        dates = self.dates()
+        if not dates:
+            return F.lit(False)
+        listed = ", ".join(f"'{date}'" for date in dates)
+        return self.in_range(F.col(column)) & F.expr(f"`{column}` IN ({listed})")
 
     def days(self, spark: SparkSession) -> DataFrame:
         """The calendar as a table: snapshot, year, month, day."""
@@ -95,16 +99,11 @@ class Calendar:
         return table if self.day is None else table.where(day == int(self.day))
 
     def last_day(self) -> str:
-        """Latest day of the calendar range, ignoring ``day``."""
-        bound = min(self.last, f"{self.last_year}12{LONG_MONTH}")
-        year, month = int(bound[:4]), int(bound[4:6])
-        if month <= 6:
-            length = LONG_MONTH
-        elif month <= 11:
-            length = SHORT_MONTH
-        else:
-            length = LAST_MONTH + (year in self.leap_years)
-        return min(bound, f"{bound[:6]}{length}")
+        """Latest day of the calendar range, whatever ``day`` says."""
+        dates = replace(self, day=None).dates()
+        if not dates:
+            raise ValueError(f"no calendar day between {self.first} and {self.last}")
+        return dates[-1]
 
 
 def months_back(snapshot: Column, months: int = LOOKBACK_MONTHS) -> Column:

@@ -85,7 +85,7 @@ def calendar_coverage(balances: DataFrame, calendar: Calendar) -> DataFrame:
     meet the calendar, so the join is small on both sides.
     """
     held = (
-        balances.where(calendar.contains(F.col("snapshot")))
+        balances.where(calendar.contains())
         .groupBy("snapshot")
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )

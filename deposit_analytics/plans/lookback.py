@@ -26,7 +26,7 @@ def window_bounds(calendar: Calendar, months: int = LOOKBACK_MONTHS) -> tuple[Co
 def lookback_window(balances: DataFrame, calendar: Calendar, months: int = LOOKBACK_MONTHS) -> DataFrame:
     """from_h, to_h for each calendar day the balance table holds."""
     return (
-        balances.where(calendar.contains(F.col("snapshot")))
+        balances.where(calendar.contains())
         .select("snapshot")
         .distinct()
         .select(months_back(F.col("snapshot"), months).alias("from_h"), F.col("snapshot").alias("to_h"))

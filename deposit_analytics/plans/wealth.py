@@ -27,7 +27,7 @@ EXPORT_COLUMNS = ("custno", "interest_free", "short_term", "term", "tenure_days"
 
 def _accounts(balances: DataFrame, calendar: Calendar | None, money: str, sign: str) -> DataFrame:
     if calendar is not None:
-        balances = balances.where(calendar.contains(F.col("snapshot")))
+        balances = balances.where(calendar.contains())
     return balance_ops.account_projection(balances, money, sign)
 
 

@@ -44,8 +44,8 @@ def test_membership_agrees_with_the_day_table(spark, calendar):
     every = [f"{n:08d}" for n in range(13901200, 13980200)]
     odd = [None, "", "1396", "1396010A", "139601 1", "139601011", "13960100", "13961301", "1396010", "x3960101"]
     texts = spark.createDataFrame([(t,) for t in every + odd], "snapshot string")
-    kept = sorted(r.snapshot for r in texts.where(calendar.contains(F.col("snapshot"))).collect())
-    assert kept == days(spark, calendar)
+    kept = sorted(r.snapshot for r in texts.where(calendar.contains()).collect())
+    assert kept == days(spark, calendar) == calendar.dates()
 
 
 @pytest.mark.parametrize(
@@ -62,6 +62,15 @@ def test_last_day(spark, first, last, expected):
     assert calendar.last_day() == expected == days(spark, calendar)[-1]
 
 
+def test_ranges_without_a_day(spark):
+    for calendar in (Calendar("13961230", "13961231"), Calendar("13800101", "13801229")):
+        assert days(spark, calendar) == calendar.dates() == []
+        texts = spark.createDataFrame([("13961230",), ("13800101",)], "snapshot string")
+        assert texts.where(calendar.contains()).count() == 0
+        with pytest.raises(ValueError, match="no calendar day"):
+            calendar.last_day()
+
+
 def test_lookback_start(spark):
     cases = {
         "13970231": "13961131",

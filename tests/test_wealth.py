@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from decimal import Decimal
 from fractions import Fraction
 
 import pytest
@@ -73,6 +74,29 @@ def test_a_repeated_customer_row_doubles_the_total_only(spark):
     assert rows(totals) == [("a", DATE, "950115", 12000000000)]
 
 
+def test_many_copies_of_one_customer_lower_the_bound_for_nobody_else(spark):
+    held = [("hot", "01x", "10+", DATE), ("cold", "01x", "10+", DATE), ("rich", "01x", "30001+", DATE)]
+    people = [("hot", "01", "950115")] * 3000 + [("cold", "01", "950115"), ("rich", "01", "950115")]
+    assert pivot(spark, held, people, threshold=29999) == [
+        ("hot", 10, None, None, 746),
+        ("rich", 30001, None, None, 746),
+    ]
+    assert [r[0] for r in pivot(spark, held, people, threshold=30000)] == ["rich"]
+    assert [r[0] for r in pivot(spark, held, people, threshold=30000, inclusive=True)] == ["hot", "rich"]
+
+
+def test_decimal_thresholds(spark):
+    held = [("a", "01x", "10.25+", DATE), ("b", "01x", "10.5+", DATE), ("c", "01x", "10.75+", DATE)]
+    people = [(c, "01", "950115") for c in "abc"]
+    money = {"money": "decimal(38,2)", "threshold": Decimal("10.5")}
+    assert [r[0] for r in pivot(spark, held, people, **money)] == ["c"]
+    assert [r[0] for r in pivot(spark, held, people, inclusive=True, **money)] == ["b", "c"]
+    by_product = wealth.high_value_by_product(
+        helpers.balances(spark, held), helpers.customers(spark, people), **money
+    )
+    assert rows(by_product, "custno", "balance") == [("c", Decimal("10.75"))]
+
+
 def test_thresholds_can_be_negative_or_inclusive(spark):
     held = [("a", "01x", "5-", DATE), ("b", "01x", "8-", DATE), ("c", "01x", "9-", DATE)]
     people = [(c, "01", "950115") for c in "abc"] + [("a", "01", "950115")]
