@@ -33,9 +33,7 @@ def lookback_window(balances: DataFrame, calendar: Calendar, months: int = LOOKB
     )
 
 
-def _member(product: Column, codes: Iterable[str], inside: Column, strict_precedence: bool) -> Column:
-    if not strict_precedence:
-        return columns.in_group(product, codes) & inside
+def _literal_member(product: Column, codes: Iterable[str], inside: Column) -> Column:
     *free, limited = codes
     bounded = (product == limited) & inside
     return columns.in_group(product, free) | bounded if free else bounded
@@ -63,14 +61,14 @@ def lookback_balance(
     brackets; the other codes then count on every date.
     """
     accounts = balance_ops.account_projection(balances, money, sign)
+    product = F.col("product")
     inside = F.col("snapshot").between(*window_bounds(calendar, months))
-    members = {
-        name: _member(F.col("product"), codes, inside, strict_precedence) for name, codes in groups.items()
-    }
+    if strict_precedence:
+        members = {name: _literal_member(product, codes, inside) for name, codes in groups.items()}
+    else:
+        accounts = accounts.where(inside)
+        members = {name: columns.in_group(product, codes) for name, codes in groups.items()}
     used = accounts.where(reduce(lambda a, b: a | b, members.values()))
-    if not strict_precedence:
-        # Said once more on its own so that it is pushed to the file scan.
-        used = used.where(inside)
     return used.groupBy("custno").agg(
         *[
             columns.sum_where(F.col("amount"), member).cast(money).alias(name)
