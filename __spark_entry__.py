@@ -27,6 +27,7 @@ AS_OF = dt.date(2018, 4, 21)
 FIRST_OF_MONTH = Calendar("13960101", "13970301", day="01")
 DAILY = Calendar("13960101", "13970301")
 DAY31 = Calendar("13910101", "13971229", day="31")
+EARLY, LATE = Calendar("13910101", "13941229"), Calendar("13950101", "13971229")
 ONE_DATE = Calendar("13960101", "13960101")
 LOOKBACK = Calendar("13960601", "13970231")
 # First day the lookback of that calendar reaches, for the scan of the tables.
@@ -153,11 +154,24 @@ def _yearly_pivot(spark: SparkSession, sf: str) -> DataFrame:
 def _sink_parquet_append(spark: SparkSession, sf: str) -> DataFrame:
     folder = sinks.work_folder(spark, "append")
     result = _yearly_pivot(spark, sf)
-    for part in (Calendar("13910101", "13941229"), Calendar("13950101", "13971229")):
+    for part in (EARLY, LATE):
         sinks.write_parquet(result.where(part.in_range(F.col("snapshot"))), folder, "append")
     return sinks.read_parquet_result(spark, folder, result.schema)
 
 
+def _sink_parquet_mode(mode: str) -> Query:
+    """Stores the early years, then writes all years over them in ``mode``."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        folder = sinks.work_folder(spark, mode)
+        result = _yearly_pivot(spark, sf)
+        sinks.write_parquet(result.where(EARLY.in_range(F.col("snapshot"))), folder, mode)
+        sinks.write_parquet(result, folder, mode)
+        return sinks.read_parquet_result(spark, folder, result.schema)
+
+    return query
+
+
 def _sink_parquet_dynamic_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     folder = sinks.work_folder(spark, "overwrite")
     result = _yearly_pivot(spark, sf)
@@ -170,7 +184,7 @@ def _sink_parquet_dynamic_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 def _sink_csv_append(spark: SparkSession, sf: str) -> DataFrame:
     folder = sinks.work_folder(spark, "csv")
     result = wealth.export_strings(_yearly_pivot(spark, sf))
-    for part in (Calendar("13910101", "13941229"), Calendar("13950101", "13971229")):
+    for part in (EARLY, LATE):
         sinks.append_csv(result.where(part.in_range(F.col("snapshot"))), folder)
     return sinks.read_csv_result(spark, folder, result.schema)
 
@@ -209,6 +223,7 @@ def queries() -> dict[str, Query]:
         "wealth_pivot": _yearly_pivot,
         "wealth_pivot_deduped": _pivot("year", dedupe_customers=True),
         "wealth_pivot_one_date": _pivot("year", ONE_DATE),
+        "wealth_pivot_as_of_date": _pivot("year", tenure=lambda _, opened: tenure.as_of_date(AS_OF, opened)),
         "wealth_by_group": _by_group("year"),
         "calendar_days": _calendar_days,
         "wealth_first_of_month": _by_group("month", FIRST_OF_MONTH),
@@ -226,6 +241,8 @@ def queries() -> dict[str, Query]:
         "wealth_export_strings": lambda spark, sf: wealth.export_strings(_yearly_pivot(spark, sf)),
         "sql_view_balance": _sql_view_balance,
         "sink_parquet_append": _sink_parquet_append,
+        "sink_parquet_ignore": _sink_parquet_mode("ignore"),
+        "sink_parquet_overwrite": _sink_parquet_mode("overwrite"),
         "sink_parquet_dynamic_overwrite": _sink_parquet_dynamic_overwrite,
         "sink_csv_append": _sink_csv_append,
         "sink_table_insert": _sink_table_insert,
@@ -463,6 +480,7 @@ def oracle_sql() -> dict[str, str]:
         "wealth_pivot": pivot,
         "wealth_pivot_deduped": pivot,
         "wealth_pivot_one_date": _sql_pivot("year", ONE_DATE),
+        "wealth_pivot_as_of_date": _sql_pivot("year", tenure_sql=_TENURE_DATE),
         "wealth_by_group": _sql_by_group("year"),
         "calendar_days": _sql(
             "day",
@@ -513,6 +531,8 @@ WHERE a.snapshot = '13960101' AND a.product = '02'
 GROUP BY a.custno, a.snapshot, c.cust_type""",
         ),
         "sink_parquet_append": pivot,
+        "sink_parquet_ignore": _sql_pivot("year", EARLY),
+        "sink_parquet_overwrite": pivot,
         "sink_parquet_dynamic_overwrite": pivot,
         "sink_csv_append": strings,
         "sink_table_insert": strings,

@@ -48,7 +48,6 @@ def qualified(
     tenure: Tenure,
     threshold,
     inclusive: bool = False,
-    money: str = MONEY,
     dedupe: bool = False,
 ) -> DataFrame:
     """Balance rows of openings whose total reaches the threshold.
@@ -68,9 +67,12 @@ def qualified(
         most = opened.agg(F.max("copies")).scalar()
         bound = F.least(bound, F.call_function("div", bound, most))
     hopeful = balances.where(columns.reaches(total, bound, inclusive))
-    joined = totals_per_opening(hopeful, opened, money)
-    return joined.where(columns.reaches(total, threshold, inclusive)).withColumn(
-        "tenure_days", tenure(F.col("snapshot"), F.col("date_opened"))
+    # Compared as a decimal: a total that fits its type may not fit once multiplied.
+    repeated = total * F.col("copies").cast("decimal(20,0)")
+    return (
+        hopeful.join(opened, "custno")
+        .where(columns.reaches(repeated, threshold, inclusive))
+        .withColumn("tenure_days", tenure(F.col("snapshot"), F.col("date_opened")))
     )
 
 

@@ -72,7 +72,7 @@ def high_value_by_product(
     )
     opened = customer_ops.openings(customers, excluded_type, dedupe_customers)
     rows = customer_ops.qualified(
-        per_customer, opened, tenure, threshold, inclusive, money, dedupe_customers
+        per_customer, opened, tenure, threshold, inclusive, dedupe_customers
     )
     return rows.groupBy("custno", "snapshot", "product").agg(
         F.sum("balance").cast(money).alias("balance"),
@@ -96,7 +96,7 @@ def high_value_customers(
     totals = balance_ops.total_balance(_accounts(balances, calendar, money, sign), money)
     opened = customer_ops.openings(customers, excluded_type, dedupe_customers)
     rows = customer_ops.qualified(
-        totals, opened, tenures.as_of_snapshot, threshold, inclusive, money, dedupe_customers
+        totals, opened, tenures.as_of_snapshot, threshold, inclusive, dedupe_customers
     )
     return rows.select("custno", "snapshot").distinct()
 
@@ -125,7 +125,7 @@ def wealth_pivot(
     accounts = _accounts(balances, calendar, money, sign)
     sums = balance_ops.group_balances(accounts, groups, money)
     opened = customer_ops.openings(customers, excluded_type, dedupe_customers)
-    rows = customer_ops.qualified(sums, opened, tenure, threshold, inclusive, money, dedupe_customers)
+    rows = customer_ops.qualified(sums, opened, tenure, threshold, inclusive, dedupe_customers)
     return rows.groupBy("custno", "snapshot").agg(
         *[F.sum(name).cast(money).alias(name) for name in groups],
         F.max("tenure_days").alias("tenure_days"),

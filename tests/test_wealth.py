@@ -4,6 +4,7 @@ from decimal import Decimal
 from fractions import Fraction
 
 import pytest
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from deposit_analytics.constants import GROUP_JOB_CODES, PIVOT_JOB_CODES
@@ -85,6 +86,28 @@ def test_many_copies_of_one_customer_lower_the_bound_for_nobody_else(spark):
     assert [r[0] for r in pivot(spark, held, people, threshold=30000, inclusive=True)] == ["hot", "rich"]
 
 
+def test_totals_near_the_limit_of_whole_money(spark):
+    held, people = [("a", "01x", f"{2**62}+", DATE)], [("a", "01", "950115")] * 5
+    assert pivot(spark, held, people) == [("a", 2**62, None, None, 746)]
+    with pytest.raises(ArithmeticException):
+        # Five copies do not fit; decimal money holds them.
+        wealth.customer_total(
+            helpers.balances(spark, held), helpers.customers(spark, people), money="bigint"
+        ).collect()
+    exact = wealth.customer_total(helpers.balances(spark, held), helpers.customers(spark, people))
+    assert exact.first().total == Decimal(5 * 2**62)
+
+
+def test_deduped_customers_of_the_group_job(spark):
+    held = [("a", code + "x", BIG, DATE) for code in ("01", "02", "08")]
+    people = [("a", "01", "950115"), ("a", "02", "960115"), ("a", None, "960115")]
+    tables = helpers.balances(spark, held), helpers.customers(spark, people)
+    every = wealth.wealth_by_group(*tables, AS_OF, money="bigint")
+    assert rows(every, "custno", "tenure_days") == [("a", 381), ("a", 381), ("a", 746)]
+    latest = wealth.wealth_by_group(*tables, AS_OF, money="bigint", dedupe_customers=True)
+    assert rows(latest, "custno", "tenure_days") == [("a", 381)]
+
+
 def test_decimal_thresholds(spark):
     held = [("a", "01x", "10.25+", DATE), ("b", "01x", "10.5+", DATE), ("c", "01x", "10.75+", DATE)]
     people = [(c, "01", "950115") for c in "abc"]
