@@ -202,13 +202,19 @@ def step_counts(
     )
     copies = customers.groupBy("custno").agg(F.count(F.lit(1)).alias("copies"))
     wealthy = columns.reaches(_group_sum(groups), threshold, inclusive)
+    # Only wealthy customers keep their number: the others of a date collapse
+    # into one row before anything is shuffled for the join.
+    collapsed = (
+        per_customer.withColumn("custno", F.when(wealthy, F.col("custno")))
+        .groupBy("snapshot", "custno")
+        .agg(*[F.count(f"has_{name}").alias(name) for name in groups])
+    )
     counts = (
-        per_customer.select("custno", "snapshot", *[f"has_{name}" for name in groups], wealthy.alias("wealthy"))
-        .join(copies, "custno", "left")
+        collapsed.join(copies, "custno", "left")
         .groupBy("snapshot")
         .agg(
-            *[F.count(f"has_{name}").alias(name) for name in groups],
-            F.coalesce(columns.sum_where(F.col("copies"), F.col("wealthy")), F.lit(0)).alias("result"),
+            *[F.sum(name).alias(name) for name in groups],
+            F.coalesce(F.sum("copies"), F.lit(0)).alias("result"),
         )
         .withColumn("tenure", customers.agg(F.count(F.lit(1))).scalar())
     )

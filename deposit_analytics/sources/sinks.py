@@ -53,7 +53,8 @@ def write_parquet(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     rows = _laid_out(result, partition_by, observation)
-    rows.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    writer = rows.write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.partitionBy(*partition_by).parquet(path)
 
 
 def overwrite_snapshots(result: DataFrame, path: str, observation: Observation | None = None) -> None:
