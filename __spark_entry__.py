@@ -17,6 +17,15 @@ from deposit_analytics.operators import customers as customer_ops
 from deposit_analytics.plans import lookback, runs, wealth
 from deposit_analytics.sources import fixtures, readers, sinks, tables
 
+try:
+    from deposit_analytics.llm import queries as corpus
+except ImportError:
+    corpus = None
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # The test tables hold whole cents, so the thresholds are scaled to them.
@@ -206,6 +215,17 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """One entry per operator or job; each takes (spark, sf_dir)."""
+    return {**_report_queries(), **_corpus_queries()}
+
+
+def _corpus_queries() -> dict[str, Query]:
+    found = {} if corpus is None else dict(corpus.QUERIES)
+    if corpus_pipeline is not None:
+        found["pipeline"] = corpus_pipeline.run
+    return found
+
+
+def _report_queries() -> dict[str, Query]:
     return {
         "balance_scan_profile": lambda spark, sf: balance_ops.scan_profile(_balances(spark, sf, "day")),
         "customer_scan_profile": lambda spark, sf: customer_ops.scan_profile(fixtures.customers(spark, sf)),
@@ -447,7 +467,14 @@ SELECT snapshot, step, CAST(n AS BIGINT) AS n FROM (
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL for the queries, same keys and column names."""
+    """DuckDB SQL for the queries that SQL can express, same keys and column names."""
+    found = {**_report_oracles(), **({} if corpus is None else corpus.ORACLES)}
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL is not None:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def _report_oracles() -> dict[str, str]:
     pivot = _sql_pivot("year")
     strings = _sql(
         "year", _STRINGS, _TOTALS, _by_product(_TENURE_SNAPSHOT), f"\npivoted AS ({_PIVOT})"

@@ -62,7 +62,7 @@ def main() -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     bad = 0
-    for name in sys.argv[2:] or entry.queries():
+    for name in sys.argv[2:] or entry.oracle_sql():
         same, note = compare(spark, con, sf_dir, name)
         bad += not same
         print("ok  " if same else "BAD ", name, note, flush=True)
