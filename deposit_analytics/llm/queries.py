@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deposit_analytics.llm import mixing, sharding
+from deposit_analytics.llm import chosen_path, mixing, sharding
 from deposit_analytics.llm.common import stored, word_count
 
 
@@ -21,6 +21,10 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc.doc_id", "size", "source_size", "target", "taken", "doc.source")
 
 
+def op7_shingle_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_groups(_table(spark, sf_dir, "documents"))
+
+
 def op8_contiguous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     docs = _table(spark, sf_dir, "documents").select(
@@ -43,6 +47,7 @@ def op8_contiguous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mix": op1_source_mix,
+    "op7_shingle_jaccard_join": op7_shingle_jaccard_join,
     "op8_contiguous_shards": op8_contiguous_shards,
 }
 
