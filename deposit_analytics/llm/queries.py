@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deposit_analytics.llm import chosen_path, mixing, sharding
+from deposit_analytics.llm import chosen_path, decontamination, mixing, sharding
 from deposit_analytics.llm.common import stored, word_count
 
 
@@ -45,10 +45,17 @@ def op8_contiguous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contained_items(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op7_shingle_jaccard_join": op7_shingle_jaccard_join,
     "op8_contiguous_shards": op8_contiguous_shards,
+    "op10_benchmark_leaks": op10_benchmark_leaks,
 }
 
 # The mix in one window over everything, where the operator adds up buckets.
