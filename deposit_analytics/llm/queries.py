@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deposit_analytics.llm import chosen_path, decontamination, mixing, sharding
+from deposit_analytics.llm import chosen_path, decontamination, language_id, mixing, sharding
 from deposit_analytics.llm.common import stored, word_count
 
 
@@ -21,6 +21,21 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc.doc_id", "size", "source_size", "target", "taken", "doc.source")
 
 
+def _model(spark: SparkSession, sf_dir: str) -> language_id.Model:
+    docs = _table(spark, sf_dir, "documents")
+    return language_id.fit(docs.select("doc_id", "text", F.col("lang").alias("label")))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = language_id.document_records(_table(spark, sf_dir, "documents"))
+    return language_id.identify(records, _model(spark, sf_dir))
+
+
+def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = language_id.page_records(_table(spark, sf_dir, "pages"))
+    return language_id.identify(records, _model(spark, sf_dir)).withColumnRenamed("doc_id", "page_id")
+
+
 def op7_shingle_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_groups(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +68,8 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mix": op1_source_mix,
+    "op3_language_id": op3_language_id,
+    "page_language_id": page_language_id,
     "op7_shingle_jaccard_join": op7_shingle_jaccard_join,
     "op8_contiguous_shards": op8_contiguous_shards,
     "op10_benchmark_leaks": op10_benchmark_leaks,
