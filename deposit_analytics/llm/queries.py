@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deposit_analytics.llm import chosen_path, decontamination, language_id, mixing, sharding
+from deposit_analytics.llm import chosen_path, decontamination, language_id, mixing, sharding, warc
 from deposit_analytics.llm.common import stored, word_count
+from deposit_analytics.sources import sinks
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +61,14 @@ def op8_contiguous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    folder = sinks.work_folder(spark, "warc")
+    warc.write(pages, folder)
+    records = warc.read(warc.captures_of(warc.build_index(spark, folder), pages))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
 def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contained_items(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -72,6 +81,7 @@ QUERIES = {
     "page_language_id": page_language_id,
     "op7_shingle_jaccard_join": op7_shingle_jaccard_join,
     "op8_contiguous_shards": op8_contiguous_shards,
+    "op9_capture_index": op9_capture_index,
     "op10_benchmark_leaks": op10_benchmark_leaks,
 }
 
