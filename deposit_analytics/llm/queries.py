@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deposit_analytics.llm import chosen_path, decontamination, language_id, mixing, sharding, warc
+from deposit_analytics.llm import chosen_path, decontamination, language_id, mixing, sharding, token_files, warc
 from deposit_analytics.llm.common import stored, word_count
 from deposit_analytics.sources import sinks
 
@@ -22,6 +23,15 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc.doc_id", "size", "source_size", "target", "taken", "doc.source")
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = sinks.work_folder(spark, "tokens")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write(_table(spark, sf_dir, "documents"), folder, tokenizer)
+    return token_files.read(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def _model(spark: SparkSession, sf_dir: str) -> language_id.Model:
     docs = _table(spark, sf_dir, "documents")
     return language_id.fit(docs.select("doc_id", "text", F.col("lang").alias("label")))
@@ -77,6 +87,7 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mix": op1_source_mix,
+    "op2_token_files": op2_token_files,
     "op3_language_id": op3_language_id,
     "page_language_id": page_language_id,
     "op7_shingle_jaccard_join": op7_shingle_jaccard_join,
