@@ -9,9 +9,11 @@ The search is a recursion: a node holds the sets that share the tokens on the
 path to it. It picks each of the signature's places with probability 1 over
 (threshold x places), alike for all its sets, and sends every set to the child
 named by the token there. So a pair at the threshold meets in one child on
-average. Nodes with few sets are compared pair by pair, exactly; others are
-split again, and those that are still large at the deepest level are compared
-in blocks. Runs with other random choices repeat until a pair at the threshold
+average. Nodes with few sets are compared pair by pair; others are split again,
+and those that are still large at the deepest level are compared in blocks. The
+first comparison is of signatures: a pair at the threshold agrees in fewer than
+39 of 64 places once in 25,000 times. Sets with a partner are then compared
+exactly. Runs with other random choices repeat until a pair at the threshold
 is missed with less than the stated probability.
 
 No pair leaves a task: a comparison returns links per set, counted in the first
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from deposit_analytics.llm import shingles
 from deposit_analytics.llm.common import stored
-from deposit_analytics.llm.components import components
+from deposit_analytics.llm.components import components, local_stars
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -42,6 +44,7 @@ SMALL = 64
 BLOCK = 1024
 BLOCK_TOKENS = 1 << 21
 COLUMNS = 4096
+AGREEING = 39
 
 _SEEDS = shingles.mixed(np.arange(1, 1 + 2 * PLACES, dtype=np.uint64)) | np.uint64(1)
 
@@ -158,21 +161,30 @@ def shared_counts(rows: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
     return out
 
 
-def local_stars(links: np.ndarray, left: np.ndarray, right: np.ndarray, ids: np.ndarray) -> tuple[list, list]:
-    """(node, least node) of the connected groups that a block's links make."""
-    i, j = np.nonzero(links)
-    a, b = left[i], right[j]
-    label = ids.copy()
-    while True:
-        least = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, least)
-        np.minimum.at(new, b, least)
-        if (new == label).all():
-            break
-        label = new
-    some = np.flatnonzero(label != ids)
-    return ids[some].tolist(), label[some].tolist()
+def _sides(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Rows of the first and of the second block, and whether they are one block."""
+    left = np.flatnonzero((group["block"] == group["first"]).to_numpy())
+    right = np.flatnonzero((group["block"] == group["second"]).to_numpy())
+    return left, right, bool(group["first"].iloc[0] == group["second"].iloc[0])
+
+
+def _screen_unit(unit: pd.DataFrame) -> pd.DataFrame:
+    """node, set_id of the sets whose signature is like another's in the same node."""
+    found: list[pd.DataFrame] = []
+    for _, group in unit.groupby(["node", "first", "second"], sort=False):
+        left, right, same = _sides(group)
+        signatures = np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(len(group), PLACES)
+        agree = np.zeros((len(left), len(right)), np.uint8)
+        for a, b in zip(signatures[left].T, signatures[right].T, strict=True):
+            agree += a[:, None] == b[None, :]
+        near = agree >= AGREEING
+        if same:
+            np.fill_diagonal(near, False)
+        some = np.zeros(len(group), bool)
+        some[left] |= near.any(axis=1)
+        some[right] |= near.any(axis=0)
+        found.append(group.loc[some, ["node", "set_id"]])
+    return pd.concat(found)
 
 
 def _compare(group: pd.DataFrame, threshold: float) -> tuple[list, list, list]:
@@ -180,12 +192,10 @@ def _compare(group: pd.DataFrame, threshold: float) -> tuple[list, list, list]:
     ids = group.set_id.to_numpy()
     sizes = group.n.to_numpy().astype(np.float64)
     copies = group.copies.to_numpy()
-    left = np.flatnonzero((group["block"] == group["first"]).to_numpy())
-    right = np.flatnonzero((group["block"] == group["second"]).to_numpy())
+    left, right, same = _sides(group)
     tokens = [np.frombuffer(one, np.uint64) for one in group.tokens]
     both = shared_counts(tokens, left, right).astype(np.float64)
     near = both >= threshold * (sizes[left][:, None] + sizes[right][None, :] - both) - 1e-9
-    same = bool(group["first"].iloc[0] == group["second"].iloc[0])
     if same:
         np.fill_diagonal(near, False)
     if not near.any():
@@ -243,16 +253,17 @@ def _nodes(signatures: DataFrame, runs: int) -> DataFrame:
     )
 
 
-def _units(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+def _units(nodes: DataFrame, sets: DataFrame, most: int) -> DataFrame:
     """Rows to compare, dealt out by unit.
 
-    Small nodes go many to a unit. Large ones are cut into blocks of bounded
-    rows and tokens, and each pair of blocks is a unit.
+    ``nodes`` has node, set_id and the node's members and weight. Small nodes go
+    many to a unit. Large ones are cut into blocks of bounded rows and weight,
+    and each pair of blocks is a unit.
     """
-    parts = F.greatest(F.col("members") / F.lit(BLOCK), F.col("weight") / F.lit(BLOCK_TOKENS))
+    parts = F.greatest(F.col("members") / F.lit(BLOCK), F.col("weight") / F.lit(most))
     rows = nodes.withColumn("blocks", F.ceil(parts).cast("int"))
     few = rows.where(F.col("blocks") == 1).groupBy("node").agg(F.max("weight").alias("weight"))
-    units = (few.agg(F.sum("weight")).first()[0] or 0) // BLOCK_TOKENS + 1
+    units = (few.agg(F.sum("weight")).first()[0] or 0) // most + 1
     rows = rows.withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
@@ -261,6 +272,20 @@ def _units(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.select("node", "set_id", "block", "first", "second", unit.alias("unit")).join(sets, "set_id")
 
 
+def _screened(nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, set_id, members, weight) of the sets with a partner of a like signature."""
+    by_rows = nodes.withColumn("weight", F.col("members"))
+    kept = (
+        _units(by_rows, classes.select("set_id", "signature"), 8 * BLOCK)
+        .groupBy("unit")
+        .applyInPandas(_screen_unit, "node long, set_id long")
+        .distinct()
+    )
+    kept = stored(kept.join(classes.select("set_id", "n"), "set_id"), "screened")
+    sizes = kept.groupBy("node").agg(F.count("*").alias("members"), F.sum("n").alias("weight"))
+    return kept.drop("n").join(sizes, "node")
+
+
 def near_groups(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """Returns doc_id, n_links, class_id for each row of ``docs`` (doc_id, text).
 
@@ -290,10 +315,12 @@ def near_groups(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRES
         "classes",
     )
     nodes = stored(_nodes(classes, runs_needed(recall)), "nodes")
+    nodes = stored(_screened(nodes, classes), "screened_nodes")
     reached = nodes.groupBy("set_id").agg(F.sort_array(F.collect_set("node")).alias("list"))
     active = stored(reached.join(classes.select("set_id", "doc_id", "n", "copies"), "set_id"), "active")
+    wanted = stored(active.select("doc_id").distinct(), "wanted")
     texts = (
-        docs.join(active.select("doc_id").distinct(), "doc_id", "left_semi")
+        docs.join(wanted, "doc_id", "left_semi")
         .select("text")
         .mapInArrow(lambda batches: _tokens(batches, width), "set_id long, tokens binary")
         .dropDuplicates(["set_id"])
@@ -302,7 +329,7 @@ def near_groups(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRES
         _packed, "set_id long, n long, copies long, nodes binary"
     )
     found = stored(
-        _units(nodes, packed.join(texts, "set_id"))
+        _units(nodes, packed.join(texts, "set_id"), BLOCK_TOKENS)
         .groupBy("unit")
         .applyInPandas(lambda unit: _compare_unit(unit, threshold), "set_id long, links long, other long"),
         "links",

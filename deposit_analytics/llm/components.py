@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,3 +45,20 @@ def components(edges: DataFrame) -> DataFrame:
         if seen == state or seen[0] == 0:
             return pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))
         state = seen
+
+
+def local_stars(links: np.ndarray, left: np.ndarray, right: np.ndarray, ids: np.ndarray) -> tuple[list, list]:
+    """(node, least node) of the connected groups that a block's links make."""
+    i, j = np.nonzero(links)
+    a, b = left[i], right[j]
+    label = ids.copy()
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        if (new == label).all():
+            break
+        label = new
+    some = np.flatnonzero(label != ids)
+    return ids[some].tolist(), label[some].tolist()
