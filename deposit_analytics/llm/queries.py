@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deposit_analytics.llm import chosen_path, decontamination, language_id, mixing, sharding, token_files, warc
+from deposit_analytics.llm import chosen_path, decontamination, embedding_dedup, language_id, mixing, sharding, token_files, warc
 from deposit_analytics.llm.common import stored, word_count
 from deposit_analytics.sources import sinks
 
@@ -47,6 +47,10 @@ def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(records, _model(spark, sf_dir)).withColumnRenamed("doc_id", "page_id")
 
 
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_shingle_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_groups(_table(spark, sf_dir, "documents"))
 
@@ -90,6 +94,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_language_id": op3_language_id,
     "page_language_id": page_language_id,
+    "op5_near_vectors": op5_near_vectors,
     "op7_shingle_jaccard_join": op7_shingle_jaccard_join,
     "op8_contiguous_shards": op8_contiguous_shards,
     "op9_capture_index": op9_capture_index,
