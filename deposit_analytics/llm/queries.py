@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deposit_analytics.llm import chosen_path, decontamination, embedding_dedup, language_id, mixing, sharding, token_files, warc
+from deposit_analytics.llm import (
+    chosen_path,
+    decontamination,
+    embedding_dedup,
+    language_id,
+    lm_scores,
+    mixing,
+    sharding,
+    token_files,
+    warc,
+)
 from deposit_analytics.llm.common import stored, word_count
 from deposit_analytics.sources import sinks
 
@@ -51,6 +61,10 @@ def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores.score(_table(spark, sf_dir, "documents"))
+
+
 def op7_shingle_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_groups(_table(spark, sf_dir, "documents"))
 
@@ -95,6 +109,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "page_language_id": page_language_id,
     "op5_near_vectors": op5_near_vectors,
+    "op6_lm_scores": op6_lm_scores,
     "op7_shingle_jaccard_join": op7_shingle_jaccard_join,
     "op8_contiguous_shards": op8_contiguous_shards,
     "op9_capture_index": op9_capture_index,
