@@ -11,6 +11,7 @@ from deposit_analytics.llm import (
     decontamination,
     embedding_dedup,
     language_id,
+    license_scan,
     lm_scores,
     mixing,
     sharding,
@@ -57,6 +58,10 @@ def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(records, _model(spark, sf_dir)).withColumnRenamed("doc_id", "page_id")
 
 
+def op4_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.find_licenses(_table(spark, sf_dir, "documents"), license_scan.templates(spark))
+
+
 def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -108,6 +113,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_language_id": op3_language_id,
     "page_language_id": page_language_id,
+    "op4_license_notices": op4_license_notices,
     "op5_near_vectors": op5_near_vectors,
     "op6_lm_scores": op6_lm_scores,
     "op7_shingle_jaccard_join": op7_shingle_jaccard_join,
