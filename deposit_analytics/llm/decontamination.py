@@ -43,8 +43,11 @@ _TRIMMED = " \t\n\x0b\f\r"
 
 
 def stride(size: int) -> int:
-    """Shingles between the windows of a class."""
-    return max(1, size // 4)
+    """Shingles between the windows of a class.
+
+    The smallest classes also stand for untouched runs and lie closer.
+    """
+    return max(1, size // 4) if size <= SMALLEST else size // 2
 
 
 def item_class(shingles: Column) -> Column:
@@ -97,6 +100,18 @@ def _every(column: Column, ratio: int) -> Column:
     return column if ratio == 1 else F.filter(column, lambda _, i: i % ratio == 0)
 
 
+def _sums_of_two(hashes: str, step: int) -> Column:
+    """Counters of the hashes at every ``step``-th place and the next."""
+    count = F.floor((F.size(hashes) - 2) / step).cast("int")
+    none = F.slice(F.array(F.struct(F.lit(0).cast("long").alias("p0"), F.lit(0).cast("long").alias("p1"))), 1, 0)
+
+    def both(place: Column) -> Column:
+        a, b = F.get(hashes, place * step), F.get(hashes, place * step + 1)
+        return F.struct(a.bitwiseXOR(b).alias("p0"), a.bitwiseAND(b).alias("p1"))
+
+    return F.when(count >= 0, F.transform(F.sequence(F.lit(0), count), both)).otherwise(none)
+
+
 def _sums(left: str, right: str, planes: int) -> Column:
     return F.zip_with(left, right, lambda a, b: _add(a, b, planes))
 
@@ -115,9 +130,15 @@ def _windows(frame: DataFrame, sizes: tuple[int, ...], steps: dict[int, int]) ->
 
     ``steps`` gives the shingles between windows of each class of ``sizes``.
     """
-    largest = max(sizes)
-    frame = frame.withColumn("sum1", F.transform("shingles", lambda one: F.struct(one.alias("p0"))))
-    size, step, planes, found = 1, 1, 1, []
+    largest, found = max(sizes), []
+    if 1 in sizes or largest == 1:
+        frame = frame.withColumn("sum1", F.transform("shingles", lambda one: F.struct(one.alias("p0"))))
+        found.append(_prints("sum1", 1, 1, 1))
+    if largest == 1:
+        return frame.withColumn("windows", found[0])
+    # Sums of two come straight from the hashes, on the grid of the finest class.
+    size, step, planes = 2, min([2, *(steps[one] for one in sizes)]), 2
+    frame = frame.withColumn("sum2", _sums_of_two("shingles", step))
     while True:
         if size in sizes:
             found.append(_prints(f"sum{size}", size, step, planes))
@@ -202,19 +223,16 @@ def _candidates(docs: DataFrame, items: DataFrame, sizes: tuple[int, ...]) -> Da
     shingled = segments.withColumn("shingles", shingle_hashes("words")).select("doc_id", "from", "shingles")
     covered = _windows(shingled, sizes, {size: stride(size) for size in sizes})
     windows = covered.select("doc_id", "from", F.explode_outer("windows").alias("window"))
-    probes = windows.select(
-        "doc_id",
-        (F.col("from") + F.col("window.start")).alias("start"),
-        F.col("window.print").alias("print"),
-        F.explode_outer(
-            F.array(
-                *[
-                    _block_key(F.col("window.size"), block, _block_value(F.col("window.print"), block))
-                    for block in range(BLOCKS)
-                ]
-            )
-        ).alias("key"),
+    keys = {
+        f"key{block}": _block_key(F.col("window.size"), block, _block_value(F.col("window.print"), block))
+        for block in range(BLOCKS)
+    }
+    place = (F.col("from") + F.col("window.start")).alias("start")
+    prints = windows.select(
+        "doc_id", place, F.col("window.print").alias("print"), *[key.alias(name) for name, key in keys.items()]
     )
+    # Unpivot stays inside generated code, up to the look-up in the index.
+    probes = prints.unpivot(["doc_id", "start", "print"], list(keys), "block", "key")
     index = stored(_index(items, sizes), "index")
     # The index grows with the benchmark alone; a large one is joined by shuffling.
     known = F.broadcast(index) if index.count() <= BROADCAST_ROWS else index
