@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deposit_analytics.constants import GROUP_JOB_CODES, WHOLE_MONEY
+from deposit_analytics.constants import GROUP_JOB_CODES, MONEY, WHOLE_MONEY
 from deposit_analytics.functions import tenure
 from deposit_analytics.functions.calendar import Calendar
 from deposit_analytics.operators import balances as balance_ops
@@ -31,6 +31,8 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # The test tables hold whole cents, so the thresholds are scaled to them.
 PIVOT_OPTIONS = {"threshold": 19999999, "money": WHOLE_MONEY}
 GROUP_OPTIONS = {"threshold": 20000000, "money": WHOLE_MONEY}
+# The same in units with cents, under the default type.
+CENTS_OPTIONS = {"threshold": "199999.99", "money": MONEY}
 AS_OF = dt.date(2018, 4, 21)
 
 FIRST_OF_MONTH = Calendar("13960101", "13970301", day="01")
@@ -38,6 +40,11 @@ DAILY = Calendar("13960101", "13970301")
 DAY31 = Calendar("13910101", "13971229", day="31")
 EARLY, LATE = Calendar("13910101", "13941229"), Calendar("13950101", "13971229")
 ONE_DATE = Calendar("13960101", "13960101")
+# Orders shifted ten years further, past the years of the other reports.
+LATE_SHIFT = fixtures.YEAR_SHIFT - 10
+LATE_DAILY = Calendar("14060101", "14070301")
+LEAP = Calendar("13951101", "13970301", leap_years=(1395,))
+CUT_YEAR = 50
 LOOKBACK = Calendar("13960601", "13970231")
 # First day the lookback of that calendar reaches, for the scan of the tables.
 LOOKBACK_FIRST = "13961131"
@@ -45,21 +52,21 @@ LOOKBACK_FIRST = "13961131"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _balances(spark: SparkSession, sf: str, grain: str, calendar: Calendar | None = None) -> DataFrame:
+def _balances(spark: SparkSession, sf: str, grain: str, calendar: Calendar | None = None, **kind) -> DataFrame:
     if calendar is None:
-        return fixtures.balances(spark, sf, grain)
-    return fixtures.balances(spark, sf, grain, calendar.first, calendar.last)
+        return fixtures.balances(spark, sf, grain, **kind)
+    return fixtures.balances(spark, sf, grain, calendar.first, calendar.last, **kind)
 
 
 def _accounts(spark: SparkSession, sf: str, grain: str = "year") -> DataFrame:
     return balance_ops.account_projection(_balances(spark, sf, grain), WHOLE_MONEY)
 
 
-def _pivot(grain: str, calendar: Calendar | None = None, **options) -> Query:
+def _pivot(grain: str, calendar: Calendar | None = None, kind=None, people=fixtures.customers, **options) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         return wealth.wealth_pivot(
-            _balances(spark, sf, grain, calendar),
-            fixtures.customers(spark, sf),
+            _balances(spark, sf, grain, calendar, **(kind or {})),
+            people(spark, sf),
             calendar,
             **{**PIVOT_OPTIONS, **options},
         )
@@ -67,11 +74,11 @@ def _pivot(grain: str, calendar: Calendar | None = None, **options) -> Query:
     return query
 
 
-def _by_group(grain: str, calendar: Calendar | None = None) -> Query:
+def _by_group(grain: str, calendar: Calendar | None = None, kind=None, people=fixtures.customers) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         return wealth.wealth_by_group(
-            _balances(spark, sf, grain, calendar),
-            fixtures.customers(spark, sf),
+            _balances(spark, sf, grain, calendar, **(kind or {})),
+            people(spark, sf),
             AS_OF,
             calendar,
             **GROUP_OPTIONS,
@@ -103,9 +110,16 @@ def _tenure_per_customer(formula) -> Query:
     return query
 
 
-def _step(job, **options) -> Query:
+def _tenure_two_centuries(spark: SparkSession, sf: str) -> DataFrame:
+    seen = _balances(spark, sf, "day").select("custno", "snapshot").distinct()
+    people = fixtures.customers(spark, sf, first_year=90).select("custno", "date_opened")
+    days = tenure.as_of_snapshot(F.col("snapshot"), F.col("date_opened"), cut_year=CUT_YEAR)
+    return seen.join(people, "custno").select("custno", "snapshot", "date_opened", days.alias("tenure_days"))
+
+
+def _step(job, people=fixtures.customers, calendar: Calendar | None = None, **options) -> Query:
     return lambda spark, sf: job(
-        _balances(spark, sf, "year"), fixtures.customers(spark, sf), **options
+        _balances(spark, sf, "year", calendar), people(spark, sf), calendar, **options
     )
 
 
@@ -134,8 +148,8 @@ def _lookback_precedence(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _calendar_days(spark: SparkSession, sf: str) -> DataFrame:
-    return balance_ops.calendar_coverage(_balances(spark, sf, "day", DAILY), DAILY)
+def _calendar_days(calendar: Calendar) -> Query:
+    return lambda spark, sf: balance_ops.calendar_coverage(_balances(spark, sf, "day", calendar), calendar)
 
 
 def _lookback_window(spark: SparkSession, sf: str) -> DataFrame:
@@ -190,6 +204,15 @@ def _sink_parquet_dynamic_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     return stored
 
 
+def _sink_rerun_emptied_date(spark: SparkSession, sf: str) -> DataFrame:
+    """Stores all years, then runs one again with a threshold that nobody reaches."""
+    folder = sinks.work_folder(spark, "rerun")
+    runs.store_snapshots(_yearly_pivot(spark, sf), folder)
+    nobody = _pivot("year", ONE_DATE, threshold=10**15)(spark, sf)
+    stored, _ = runs.store_snapshots(nobody, folder, calendar=ONE_DATE)
+    return stored
+
+
 def _sink_csv_append(spark: SparkSession, sf: str) -> DataFrame:
     folder = sinks.work_folder(spark, "csv")
     result = wealth.export_strings(_yearly_pivot(spark, sf))
@@ -205,7 +228,10 @@ def _sink_table_insert(spark: SparkSession, sf: str) -> DataFrame:
     tables.create_result_table(spark, name, folder, result.schema)
     tables.insert_result(result, name)
     tables.refresh(spark, name)
-    return tables.read_result_table(spark, name)
+    rows = tables.read_result_table(spark, name)
+    # The files of an external table stay; only the name goes.
+    spark.sql(f"DROP TABLE {name}")
+    return rows
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -245,7 +271,36 @@ def _report_queries() -> dict[str, Query]:
         "wealth_pivot_one_date": _pivot("year", ONE_DATE),
         "wealth_pivot_as_of_date": _pivot("year", tenure=lambda _, opened: tenure.as_of_date(AS_OF, opened)),
         "wealth_by_group": _by_group("year"),
-        "calendar_days": _calendar_days,
+        "wealth_pivot_decimal": _pivot("year", kind={"cents": True}, **CENTS_OPTIONS),
+        "wealth_pivot_signed": _pivot("year", sign="trailing", threshold=0),
+        "wealth_pivot_inclusive": _pivot("year", inclusive=True, threshold=19999999),
+        "wealth_pivot_fractional_threshold": _pivot(
+            "year", kind={"cents": True}, money=MONEY, threshold="199999.995"
+        ),
+        "wealth_pivot_repeated": _pivot("year", people=fixtures.repeated_customers),
+        "wealth_pivot_repeated_deduped": _pivot(
+            "year", people=fixtures.repeated_customers, dedupe_customers=True
+        ),
+        "customer_total_repeated": _step(
+            wealth.customer_total, people=fixtures.repeated_customers, money=WHOLE_MONEY
+        ),
+        "high_value_by_product_repeated": _step(
+            wealth.high_value_by_product, people=fixtures.repeated_customers, **PIVOT_OPTIONS
+        ),
+        "wealth_by_group_repeated": _by_group("year", people=fixtures.repeated_customers),
+        "wealth_by_group_null_dates": _by_group("year", kind={"null_dates": True}),
+        "step_counts_repeated": _step(
+            wealth.step_counts, people=fixtures.repeated_customers, **GROUP_OPTIONS
+        ),
+        "step_counts_calendar": _step(wealth.step_counts, calendar=FIRST_OF_MONTH, **GROUP_OPTIONS),
+        "account_projection_decimal": lambda spark, sf: balance_ops.account_projection(
+            _balances(spark, sf, "day", cents=True)
+        ),
+        "tenure_two_centuries": _tenure_two_centuries,
+        "calendar_days": _calendar_days(DAILY),
+        "calendar_days_leap": _calendar_days(LEAP),
+        "wealth_daily_late": _pivot("day", LATE_DAILY, kind={"shift": LATE_SHIFT}),
+        "sink_rerun_emptied_date": _sink_rerun_emptied_date,
         "wealth_first_of_month": _by_group("month", FIRST_OF_MONTH),
         "wealth_day31": _pivot("day", DAY31),
         "wealth_day31_compat_v2": _pivot("day", DAY31, tenure=tenure.compat_v2),
@@ -273,48 +328,80 @@ def _report_queries() -> dict[str, Query]:
 # Written from the meaning of the reports: the account rows are joined with the
 # customer rows first and summed afterwards, and the calendar is a joined table.
 
-_CUSTOMERS = """
-customers AS (
+def _sql_customers(first_year: int = 80, name: str = "customers") -> str:
+    return f"""
+{name} AS (
   SELECT CAST(c_custkey AS VARCHAR) AS custno,
          CASE WHEN c_nationkey = 0 THEN NULL WHEN c_mktsegment = 'MACHINERY' THEN '02' ELSE '01' END
            AS cust_type,
-         CAST(80 + c_custkey % 17 AS VARCHAR) || lpad(CAST(c_custkey % 12 + 1 AS VARCHAR), 2, '0')
+         lpad(CAST(({first_year} + c_custkey % 17) % 100 AS VARCHAR), 2, '0')
+           || lpad(CAST(c_custkey % 12 + 1 AS VARCHAR), 2, '0')
            || lpad(CAST(c_custkey % 28 + 1 AS VARCHAR), 2, '0') AS date_opened
   FROM customer)"""
 
-_SNAPSHOTS = {
-    "day": "CAST(year(o_orderdate) - 604 AS VARCHAR) || lpad(CAST(month(o_orderdate) AS VARCHAR), 2, '0')"
-    " || lpad(CAST(day(o_orderdate) AS VARCHAR), 2, '0')",
-    "month": "CAST(year(o_orderdate) - 604 AS VARCHAR) || lpad(CAST(month(o_orderdate) AS VARCHAR), 2, '0')"
-    " || '01'",
-    "year": "CAST(year(o_orderdate) - 604 AS VARCHAR) || '0101'",
-}
 
-_CALENDAR = """
+_CUSTOMERS = _sql_customers()
+
+_REPEATED = (
+    _sql_customers(name="single")
+    + """,
+customers AS (
+  SELECT * FROM single
+  UNION ALL
+  SELECT custno, cust_type,
+         CAST(CAST(substring(date_opened, 1, 2) AS INTEGER) + 1 AS VARCHAR) || substring(date_opened, 3, 4)
+  FROM single WHERE CAST(custno AS BIGINT) % 10 = 0
+  UNION ALL
+  SELECT * FROM single WHERE CAST(custno AS BIGINT) % 10 = 1
+  UNION ALL
+  SELECT custno, '02', date_opened FROM single WHERE CAST(custno AS BIGINT) % 10 = 2)"""
+)
+
+# One row a customer, the latest opening among the types that count.
+_DEDUPED = _REPEATED.replace("\ncustomers AS", "\nevery AS") + """,
+customers AS (
+  SELECT custno, '01' AS cust_type, max(date_opened) AS date_opened
+  FROM every WHERE cust_type <> '02' GROUP BY custno)"""
+
+_PLAIN = {"shift": 604, "cents": False, "null_dates": False, "money": "BIGINT", "sign": "ignore"}
+
+
+def _sql_snapshot(grain: str, kind: dict) -> str:
+    year = f"CAST(year(o_orderdate) - {kind['shift']} AS VARCHAR)"
+    month, day = (f"lpad(CAST({part}(o_orderdate) AS VARCHAR), 2, '0')" for part in ("month", "day"))
+    text = {"day": f"{year} || {month} || {day}", "month": f"{year} || {month} || '01'", "year": f"{year} || '0101'"}
+    return f"CASE WHEN l_orderkey % 10 <> 3 THEN {text[grain]} END" if kind["null_dates"] else text[grain]
+
+
+def _sql_calendar(leap_years: tuple[int, ...] = ()) -> str:
+    leap = "".join(f" + (y = {year}) :: INTEGER" for year in leap_years)
+    return f"""
 calendar AS (
   SELECT CAST(y * 10000 + m * 100 + d AS VARCHAR) AS snapshot,
          CAST(y AS INTEGER) AS year, CAST(m AS INTEGER) AS month, CAST(d AS INTEGER) AS day
-  FROM range(1391, 1398) AS ys(y), range(1, 13) AS ms(m), range(1, 32) AS ds(d)
-  WHERE d <= CASE WHEN m <= 6 THEN 31 WHEN m <= 11 THEN 30 ELSE 29 END)"""
+  FROM range(1391, 1410) AS ys(y), range(1, 13) AS ms(m), range(1, 32) AS ds(d)
+  WHERE d <= CASE WHEN m <= 6 THEN 31 WHEN m <= 11 THEN 30 ELSE 29{leap} END)"""
 
 
-def _sql_balances(grain: str) -> str:
+def _sql_balances(grain: str, kind: dict) -> str:
+    cast = "CAST(round(l_extendedprice, 2) AS DECIMAL(18, 2))" if kind["cents"] else "CAST(round(l_extendedprice * 100) AS BIGINT)"
     return f"""
 balances AS (
   SELECT CAST(o_custkey AS VARCHAR) AS custno,
          lpad(CAST((l_linenumber + l_orderkey) % 8 + 1 AS VARCHAR), 2, '0')
            || lpad(CAST(l_orderkey AS VARCHAR), 8, '0') AS acno,
-         CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR)
-           || CASE WHEN l_returnflag = 'R' THEN '-' ELSE '+' END AS remaining,
-         {_SNAPSHOTS[grain]} AS snapshot
+         CAST({cast} AS VARCHAR) || CASE WHEN l_returnflag = 'R' THEN '-' ELSE '+' END AS remaining,
+         {_sql_snapshot(grain, kind)} AS snapshot
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
-def _sql_accounts(dates: str = "") -> str:
+def _sql_accounts(dates: str, kind: dict) -> str:
+    sign = "CASE WHEN remaining LIKE '%-' THEN -1 ELSE 1 END * " if kind["sign"] == "trailing" else ""
     return f"""
 accounts AS (
   SELECT custno, acno, substring(acno, 1, 2) AS product,
-         CAST(substring(remaining, 1, length(remaining) - 1) AS BIGINT) AS amount, snapshot
+         CAST({sign}CAST(substring(remaining, 1, length(remaining) - 1) AS {kind["money"]}) AS {kind["money"]}) AS amount,
+         snapshot
   FROM balances {dates})"""
 
 
@@ -326,8 +413,9 @@ def _on(calendar: Calendar) -> str:
     return _DATES.format(calendar.first, calendar.last, day)
 
 
-def _sql(grain: str, select: str, *ctes: str, dates: str = "") -> str:
-    head = [_CUSTOMERS, _sql_balances(grain), _CALENDAR, _sql_accounts(dates), *ctes]
+def _sql(grain: str, select: str, *ctes: str, dates: str = "", people: str = _CUSTOMERS, leap=(), **kind) -> str:
+    kind = {**_PLAIN, **kind}
+    head = [people, _sql_balances(grain, kind), _sql_calendar(leap), _sql_accounts(dates, kind), *ctes]
     return f"WITH {','.join(head)}\n{select}"
 
 
@@ -344,6 +432,9 @@ _TENURE_V3 = (
     "(36500 * CAST(substring(snapshot, 1, 4) AS BIGINT) + 3042 * CAST(substring(snapshot, 3, 2) AS BIGINT)"
     f" + 100 * CAST(substring(date_opened, 5, 2) AS BIGINT) - ({_OPENED})) // 100"
 )
+_TENURE_CUT = _TENURE_SNAPSHOT.replace(
+    "'13' || date_opened", f"CASE WHEN substring(date_opened, 1, 2) < '{CUT_YEAR}' THEN '14' ELSE '13' END || date_opened"
+)
 _TENURE_DATE = f"(36500 * 2018 + 3042 * 4 + 100 * 21 - 22674626 - ({_OPENED})) // 100"
 
 _TOTALS = """
@@ -354,14 +445,14 @@ totals AS (
   GROUP BY a.custno, a.snapshot, c.date_opened)"""
 
 
-def _by_product(tenure_sql: str) -> str:
+def _by_product(tenure_sql: str, test: str = "> 19999999", money: str = "BIGINT") -> str:
     return f"""
 aged AS (SELECT custno, snapshot, total, {tenure_sql} AS tenure_days FROM totals),
 by_product AS (
-  SELECT a.custno, a.snapshot, a.product, CAST(sum(a.amount) AS BIGINT) AS balance,
+  SELECT a.custno, a.snapshot, a.product, CAST(sum(a.amount) AS {money}) AS balance,
          CAST(max(t.tenure_days) AS BIGINT) AS tenure_days
   FROM accounts a JOIN aged t ON a.custno = t.custno AND a.snapshot = t.snapshot
-  WHERE t.total > 19999999
+  WHERE t.total {test}
   GROUP BY a.custno, a.snapshot, a.product)"""
 
 
@@ -398,15 +489,36 @@ FROM pivoted"""
 
 
 def _sql_pivot(
-    grain: str, calendar: Calendar | None = None, tenure_sql: str = _TENURE_SNAPSHOT, select: str = _PIVOT
+    grain: str,
+    calendar: Calendar | None = None,
+    tenure_sql: str = _TENURE_SNAPSHOT,
+    select: str = _PIVOT,
+    test: str = "> 19999999",
+    **kind,
 ) -> str:
     dates = "" if calendar is None else _on(calendar)
-    return _sql(grain, select, _TOTALS, _by_product(tenure_sql), dates=dates)
+    money = kind.get("money", "BIGINT")
+    ctes = [_TOTALS.replace("BIGINT", money), _by_product(tenure_sql, test, money)]
+    # The tenure stays a whole number whatever the money is.
+    select = select.replace("balance END) AS BIGINT", f"balance END) AS {money}")
+    return _sql(grain, select, *ctes, dates=dates, **kind)
 
 
-def _sql_by_group(grain: str, calendar: Calendar | None = None) -> str:
+def _sql_by_group(grain: str, calendar: Calendar | None = None, **kind) -> str:
     dates = "" if calendar is None else _on(calendar)
-    return _sql(grain, _BY_GROUP, _GROUPS, dates=dates)
+    return _sql(grain, _BY_GROUP, _GROUPS, dates=dates, **kind)
+
+
+def _sql_days(calendar: Calendar) -> str:
+    return _sql(
+        "day",
+        f"""
+SELECT c.snapshot, c.year, c.month, c.day, count(b.custno) AS n_rows
+FROM calendar c LEFT JOIN balances b ON c.snapshot = b.snapshot
+WHERE c.snapshot BETWEEN '{calendar.first}' AND '{calendar.last}'
+GROUP BY c.snapshot, c.year, c.month, c.day""",
+        leap=calendar.leap_years,
+    )
 
 
 def _sql_group_balance(codes: str) -> str:
@@ -448,22 +560,19 @@ def _sql_lookback_group(codes: str) -> str:
     )
 
 
-_STEP_COUNTS = f"""
-SELECT snapshot, step, CAST(n AS BIGINT) AS n FROM (
-  SELECT s.snapshot, 'interest_free' AS step, (SELECT count(*) FROM gf WHERE gf.snapshot = s.snapshot) AS n
-  FROM (SELECT DISTINCT snapshot FROM accounts) s
-  UNION ALL
-  SELECT s.snapshot, 'short_term', (SELECT count(*) FROM gs WHERE gs.snapshot = s.snapshot)
-  FROM (SELECT DISTINCT snapshot FROM accounts) s
-  UNION ALL
-  SELECT s.snapshot, 'term', (SELECT count(*) FROM gt WHERE gt.snapshot = s.snapshot)
-  FROM (SELECT DISTINCT snapshot FROM accounts) s
-  UNION ALL
-  SELECT s.snapshot, 'tenure', (SELECT count(*) FROM customers)
-  FROM (SELECT DISTINCT snapshot FROM accounts) s
-  UNION ALL
-  SELECT s.snapshot, 'result', (SELECT count(*) FROM result r WHERE r.snapshot = s.snapshot)
-  FROM (SELECT DISTINCT snapshot FROM accounts) s)"""
+def _sql_steps(calendar: Calendar | None = None, **kind) -> str:
+    dates, of = "", "(SELECT DISTINCT snapshot FROM accounts)"
+    if calendar is not None:
+        dates = _on(calendar)
+        of = f"(SELECT snapshot FROM calendar {dates.replace('FROM calendar', 'FROM calendar AS c')})"
+    tables = {"interest_free": "gf", "short_term": "gs", "term": "gt", "result": "result"}
+    steps = [
+        f"SELECT s.snapshot, '{step}' AS step, (SELECT count(*) FROM {name} t WHERE t.snapshot = s.snapshot) AS n FROM {of} s"
+        for step, name in tables.items()
+    ]
+    steps.append(f"SELECT s.snapshot, 'tenure', (SELECT count(*) FROM customers) FROM {of} s")
+    select = f"SELECT snapshot, step, CAST(n AS BIGINT) AS n FROM ({' UNION ALL '.join(steps)})"
+    return _sql("year", select, _GROUPS, f"\nresult AS ({_BY_GROUP})", dates=dates, **kind)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -483,6 +592,8 @@ def _report_oracles() -> dict[str, str]:
         "balance_scan_profile": _sql(
             "day",
             "SELECT count(*) AS n_rows, count(DISTINCT custno) AS n_customers,"
+            " count(*) FILTER (WHERE try_cast(substring(remaining, 1, length(remaining) - 1) AS DOUBLE) IS NULL)"
+            " AS n_unreadable,"
             " min(snapshot) AS min_snapshot, max(snapshot) AS max_snapshot FROM balances",
         ),
         "customer_scan_profile": _sql(
@@ -509,14 +620,41 @@ def _report_oracles() -> dict[str, str]:
         "wealth_pivot_one_date": _sql_pivot("year", ONE_DATE),
         "wealth_pivot_as_of_date": _sql_pivot("year", tenure_sql=_TENURE_DATE),
         "wealth_by_group": _sql_by_group("year"),
-        "calendar_days": _sql(
+        "calendar_days": _sql_days(DAILY),
+        "calendar_days_leap": _sql_days(LEAP),
+        "wealth_pivot_decimal": _sql_pivot("year", test="> 199999.99", cents=True, money="DECIMAL(38, 2)"),
+        "wealth_pivot_signed": _sql_pivot("year", test="> 0", sign="trailing"),
+        "wealth_pivot_inclusive": _sql_pivot("year", test=">= 19999999"),
+        "wealth_pivot_fractional_threshold": _sql_pivot(
+            "year", test="> 199999.995", cents=True, money="DECIMAL(38, 2)"
+        ),
+        "wealth_pivot_repeated": _sql_pivot("year", people=_REPEATED),
+        "wealth_pivot_repeated_deduped": _sql_pivot("year", people=_DEDUPED),
+        "customer_total_repeated": _sql(
+            "year", "SELECT custno, snapshot, date_opened, total FROM totals", _TOTALS, people=_REPEATED
+        ),
+        "high_value_by_product_repeated": _sql_pivot(
+            "year", select="SELECT custno, snapshot, product, balance, tenure_days FROM by_product", people=_REPEATED
+        ),
+        "wealth_by_group_repeated": _sql_by_group("year", people=_REPEATED),
+        "wealth_by_group_null_dates": _sql_by_group("year", null_dates=True),
+        "step_counts_repeated": _sql_steps(people=_REPEATED),
+        "step_counts_calendar": _sql_steps(FIRST_OF_MONTH),
+        "account_projection_decimal": _sql(
             "day",
-            """
-SELECT c.snapshot, c.year, c.month, c.day, count(b.custno) AS n_rows
-FROM calendar c LEFT JOIN balances b ON c.snapshot = b.snapshot
-WHERE c.snapshot BETWEEN '13960101' AND '13970301'
-GROUP BY c.snapshot, c.year, c.month, c.day""",
+            "SELECT custno, acno, product, amount, snapshot FROM accounts",
+            cents=True,
+            money="DECIMAL(38, 2)",
+        ),
+        "tenure_two_centuries": _sql(
+            "day",
+            f"""
+SELECT custno, snapshot, date_opened, CAST({_TENURE_CUT} AS BIGINT) AS tenure_days
+FROM (SELECT DISTINCT custno, snapshot FROM balances) JOIN customers USING (custno)""",
+            people=_sql_customers(90),
         ),
+        "wealth_daily_late": _sql_pivot("day", LATE_DAILY, shift=LATE_SHIFT),
+        "sink_rerun_emptied_date": _sql_pivot("year", select=f"SELECT * FROM ({_PIVOT}) WHERE snapshot <> '13960101'"),
         "wealth_first_of_month": _sql_by_group("month", FIRST_OF_MONTH),
         "wealth_day31": _sql_pivot("day", DAY31),
         "wealth_day31_compat_v2": _sql_pivot("day", DAY31, "CAST(NULL AS BIGINT)"),
@@ -547,7 +685,7 @@ FROM balances {_on(LOOKBACK)}""",
         "lookback_interest_free": _sql_lookback_group("'01', '03'"),
         "lookback_short_term": _sql_lookback_group("'02'"),
         "lookback_term": _sql_lookback_group("'04', '08'"),
-        "step_counts": _sql("year", _STEP_COUNTS, _GROUPS, f"\nresult AS ({_BY_GROUP})"),
+        "step_counts": _sql_steps(),
         "wealth_export_strings": strings,
         "sql_view_balance": _sql(
             "year",

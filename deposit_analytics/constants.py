@@ -33,10 +33,8 @@ CENTURY = "13"
 PIVOT_THRESHOLD = 9999999999
 GROUP_THRESHOLD = 10000000000
 
-# Calendar years and month lengths (months 1-6, 7-11, 12; a leap
-# year adds one day to month 12).
-FIRST_YEAR = 1391
-LAST_YEAR = 1397
+# Month lengths (months 1-6, 7-11, 12; a leap year adds one day to
+# month 12).
 LONG_MONTH = 31
 SHORT_MONTH = 30
 LAST_MONTH = 29
@@ -88,3 +86,7 @@ PIVOT_EXPORT_NAMES = {
 # that hold whole units only.
 MONEY = "decimal(38,2)"
 WHOLE_MONEY = "bigint"
+
+# Decimals up to which a sum times a number of copies keeps all its digits in
+# Spark's decimal arithmetic.
+MOST_SCALE = 6

@@ -8,14 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deposit_analytics.constants import (
-    FIRST_YEAR,
-    LAST_MONTH,
-    LAST_YEAR,
-    LONG_MONTH,
-    LOOKBACK_MONTHS,
-    SHORT_MONTH,
-)
+from deposit_analytics.constants import LAST_MONTH, LONG_MONTH, LOOKBACK_MONTHS, SHORT_MONTH
 
 
 @dataclass(frozen=True)
@@ -25,14 +18,15 @@ class Calendar:
     ``day`` keeps one day of the month only: ``"01"`` for first-of-month runs,
     ``"31"`` for month ends of the long months, ``None`` for daily runs.
     ``leap_years`` get a 30th day in month 12; there are none by default.
+    ``years`` states the first and last year the caller has snapshots of; a
+    range beyond them is an error, never cut.
     """
 
     first: str
     last: str
     day: str | None = None
-    first_year: int = FIRST_YEAR
-    last_year: int = LAST_YEAR
     leap_years: tuple[int, ...] = ()
+    years: tuple[int, int] | None = None
 
     def __post_init__(self):
         for text in (self.first, self.last):
@@ -40,6 +34,12 @@ class Calendar:
                 raise ValueError(f"not a YYYYMMDD date: {text!r}")
         if self.day is not None and not re.fullmatch(r"0[1-9]|[12]\d|3[01]", self.day):
             raise ValueError(f"not a two-digit day: {self.day!r}")
+        if self.years is not None and not self.years[0] <= self._year(self.first) <= self._year(self.last) <= self.years[1]:
+            raise ValueError(f"{self.first} to {self.last} is not within the years {self.years}")
+
+    @staticmethod
+    def _year(text: str) -> int:
+        return int(text[:4])
 
     def in_range(self, snapshot: Column) -> Column:
         """Range test on the text itself, so that it reaches the file scan."""
@@ -49,18 +49,18 @@ class Calendar:
 
     def dates(self) -> list[str]:
         """The days as texts; at most 366 for each calendar year."""
-        first = max(int(self.first), self.first_year * 10000)
-        last = min(int(self.last), self.last_year * 10000 + 1299)
         wanted = range(1, LONG_MONTH + 1) if self.day is None else (int(self.day),)
-        return [
-            str(n) for n in range(first, last + 1) if n % 100 in wanted and n % 100 <= self._length(n // 100)
-        ]
-
-    def _length(self, year_month: int) -> int:
-        """Days in a month given as ``YYYYMM``; 0 if there is no such month."""
-        year, month = divmod(year_month, 100)
-        if not 1 <= month <= 12:
-            return 0
+        every = (
+            f"{year:04d}{month:02d}{day:02d}"
+            for year in range(self._year(self.first), self._year(self.last) + 1)
+            for month in range(1, 13)
+            for day in wanted
+            if day <= self._length(year, month)
+        )
+        return [date for date in every if self.first <= date <= self.last]
+
+    def _length(self, year: int, month: int) -> int:
+        """Days in a month."""
         if month == 12:
             return LAST_MONTH + (year in self.leap_years)
         return LONG_MONTH if month <= 6 else SHORT_MONTH
@@ -89,11 +89,16 @@ class Calendar:
             .otherwise(LAST_MONTH)
         )
         table = (
-            spark.range(self.first_year, self.last_year + 1, numPartitions=1)
+            spark.range(self._year(self.first), self._year(self.last) + 1, numPartitions=1)
             .select(F.col("id").cast("int").alias("year"))
             .select("year", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
             .select("year", "month", F.explode(F.sequence(F.lit(1), length)).alias("day"))
-            .select((year * 10000 + month * 100 + day).cast("string").alias("snapshot"), "year", "month", "day")
+            .select(
+                F.lpad((year * 10000 + month * 100 + day).cast("string"), 8, "0").alias("snapshot"),
+                "year",
+                "month",
+                "day",
+            )
             .where(self.in_range(F.col("snapshot")))
         )
         return table if self.day is None else table.where(day == int(self.day))

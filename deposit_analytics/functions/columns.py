@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from deposit_analytics.constants import MONEY
@@ -15,16 +16,45 @@ def product_code(acno: Column) -> Column:
     return F.substring(acno, 1, 2)
 
 
+# Fixed value: how a number is written, so that text that is none can be told
+# from a number that does not fit.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def require_exact(spark: SparkSession) -> None:
+    """Refuses a session in which sums that do not fit would wrap around."""
+    if spark.conf.get("spark.sql.ansi.enabled").lower() != "true":
+        raise ValueError("money jobs need spark.sql.ansi.enabled=true")
+
+
+def exact(threshold) -> Decimal:
+    """A threshold as the decimal it is written as."""
+    return Decimal(str(threshold))
+
+
+def _without_marker(remaining: Column) -> Column:
+    return remaining.substr(F.lit(1), F.length(remaining) - 1)
+
+
+def readable(remaining: Column) -> Column:
+    """False for balance texts without a number, which sums skip."""
+    return F.coalesce(_without_marker(remaining).rlike(NUMBER), F.lit(False))
+
+
 def amount(remaining: Column, money: str = MONEY, sign: str = "ignore") -> Column:
     """Number in a balance text whose last character is a marker.
 
     ``sign="ignore"`` drops the marker whatever it is. ``sign="trailing"`` reads
     a trailing ``-`` as a negative amount. Text that is no number gives NULL,
-    which sums skip.
+    which sums skip. A number that ``money`` cannot hold, such as one with a
+    fraction in a whole-unit type, is an error: it is looked for only where the
+    cast gave NULL. Decimal types round further decimals half up.
     """
     if sign not in ("ignore", "trailing"):
         raise ValueError(f"sign must be 'ignore' or 'trailing', not {sign!r}")
-    number = remaining.substr(F.lit(1), F.length(remaining) - 1).try_cast(money)
+    text = _without_marker(remaining)
+    misfit = F.raise_error(F.concat(F.lit(f"amount does not fit {money}: "), remaining)).cast(money)
+    number = F.coalesce(text.try_cast(money), F.when(text.rlike(NUMBER), misfit))
     if sign == "ignore":
         return number
     return F.when(remaining.endswith("-"), -number).otherwise(number)
@@ -44,5 +74,10 @@ def sum_where(value: Column, condition: Column) -> Column:
 
 
 def reaches(total: Column, threshold, inclusive: bool) -> Column:
-    """Threshold test; NULL totals never pass a filter on it."""
+    """Threshold test; NULL totals never pass a filter on it.
+
+    ``threshold`` is a column or a number, taken as the decimal it is written as.
+    """
+    if not isinstance(threshold, Column):
+        threshold = F.lit(exact(threshold))
     return total >= threshold if inclusive else total > threshold

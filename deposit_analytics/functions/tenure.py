@@ -36,18 +36,30 @@ def _whole_days(hundredths: Column) -> Column:
     return F.call_function("div", hundredths, F.lit(DAY_HUNDREDTHS))
 
 
-def _opened(date_opened: Column, century: str) -> Column:
-    full = F.concat(F.lit(century), date_opened)
+def _opened(date_opened: Column, century: str, cut_year: int | None = None) -> Column:
+    if cut_year is None:
+        full = F.concat(F.lit(century), date_opened)
+    else:
+        later = _digits(date_opened, 1, 2) < cut_year
+        full = F.concat(F.when(later, str(int(century) + 1)).otherwise(century), date_opened)
     return _point(_digits(full, 1, 4), _digits(date_opened, 3, 2), _digits(date_opened, 5, 2))
 
 
-def as_of_snapshot(snapshot: Column, date_opened: Column, century: str = CENTURY) -> Column:
-    """Tenure on the snapshot date. The one to use."""
+def as_of_snapshot(
+    snapshot: Column, date_opened: Column, century: str = CENTURY, cut_year: int | None = None
+) -> Column:
+    """Tenure on the snapshot date. The one to use.
+
+    Opening years have two digits. They are of ``century``, or, when a
+    ``cut_year`` is given, of the next one if they are below it.
+    """
     seen = _point(_digits(snapshot, 1, 4), _digits(snapshot, 5, 2), _digits(snapshot, 7, 2))
-    return _whole_days(seen - _opened(date_opened, century))
+    return _whole_days(seen - _opened(date_opened, century, cut_year))
 
 
-def as_of_date(as_of: dt.date, date_opened: Column, century: str = CENTURY) -> Column:
+def as_of_date(
+    as_of: dt.date, date_opened: Column, century: str = CENTURY, cut_year: int | None = None
+) -> Column:
     """Tenure on one Gregorian day, whatever the snapshot.
 
     The day is an argument, so a report over old snapshots gives the same
@@ -59,7 +71,7 @@ def as_of_date(as_of: dt.date, date_opened: Column, century: str = CENTURY) -> C
         + as_of.day * DAY_HUNDREDTHS
         - GREGORIAN_OFFSET_HUNDREDTHS
     )
-    return _whole_days(F.lit(today).cast("bigint") - _opened(date_opened, century))
+    return _whole_days(F.lit(today).cast("bigint") - _opened(date_opened, century, cut_year))
 
 
 def compat_v2(snapshot: Column, date_opened: Column) -> Column:

@@ -19,6 +19,7 @@ from deposit_analytics.functions.calendar import Calendar
 
 def account_projection(balances: DataFrame, money: str = MONEY, sign: str = "ignore") -> DataFrame:
     """custno, acno, product, amount, snapshot of every account row."""
+    columns.require_exact(balances.sparkSession)
     return balances.select(
         "custno",
         "acno",
@@ -64,15 +65,16 @@ def product_balance(accounts: DataFrame, money: str = MONEY) -> DataFrame:
 
 
 def scan_profile(balances: DataFrame) -> DataFrame:
-    """n_rows, n_customers, min_snapshot, max_snapshot of a balance table.
+    """n_rows, n_customers, n_unreadable, min_snapshot, max_snapshot of a balance table.
 
-    Snapshots are compared as numbers: text minima would make Spark sort the
+    ``n_unreadable`` counts the amounts that sums skip. Snapshots are compared as numbers: text minima would make Spark sort the
     table, numbers stay in a hash aggregation.
     """
     day = F.col("snapshot").try_cast("int")
     return balances.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("custno").alias("n_customers"),
+        F.count_if(~columns.readable(F.col("remaining"))).alias("n_unreadable"),
         F.lpad(F.min(day).cast("string"), 8, "0").alias("min_snapshot"),
         F.lpad(F.max(day).cast("string"), 8, "0").alias("max_snapshot"),
     )

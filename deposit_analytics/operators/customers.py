@@ -6,13 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
-from deposit_analytics.constants import EXCLUDED_TYPE, MONEY
+from deposit_analytics.constants import EXCLUDED_TYPE, MONEY, MOST_SCALE
 from deposit_analytics.functions import columns
 
 Tenure = Callable[[Column, Column], Column]
 
 
+def latest_opening(date_opened: Column) -> Column:
+    """The latest of six-digit opening dates; other texts do not count.
+
+    Compared as numbers, which keep the order of such texts: text maxima would
+    make Spark sort the table, numbers stay in a hash aggregation.
+    """
+    number = F.when(date_opened.rlike("^[0-9]{6}$"), date_opened.try_cast("int"))
+    return F.lpad(F.max(number).cast("string"), 6, "0")
+
+
 def openings(customers: DataFrame, excluded_type: str = EXCLUDED_TYPE, dedupe: bool = False) -> DataFrame:
     """custno, date_opened, copies of the customers the pivot job looks at.
 
@@ -20,11 +31,14 @@ def openings(customers: DataFrame, excluded_type: str = EXCLUDED_TYPE, dedupe: b
     counts the customer rows behind one opening date: a join with those rows
     would repeat every balance that often. ``dedupe`` keeps one row per
     customer, with the latest opening date.
+
+    Repeated rows combine before the shuffle, so a customer with very many of
+    them burdens no task; the openings then move once more, to the join.
     """
     kept = customers.where((F.col("cust_type") != excluded_type) & F.col("custno").isNotNull())
     if dedupe:
         return kept.groupBy("custno").agg(
-            F.max("date_opened").alias("date_opened"), F.lit(1).cast("bigint").alias("copies")
+            latest_opening(F.col("date_opened")).alias("date_opened"), F.lit(1).cast("bigint").alias("copies")
         )
     return kept.groupBy("custno", "date_opened").agg(F.count(F.lit(1)).alias("copies"))
 
@@ -62,7 +76,10 @@ def qualified(
     rounded down. With clean customer data that number is 1 and only wealthy
     customers are joined at all.
     """
-    total, bound = F.col("total"), F.lit(threshold)
+    total, bound = F.col("total"), F.lit(columns.exact(threshold))
+    kind = balances.schema["total"].dataType
+    if isinstance(kind, DecimalType) and kind.scale > MOST_SCALE:
+        raise ValueError(f"money with more than {MOST_SCALE} decimals cannot be multiplied exactly")
     if not dedupe:
         most = opened.agg(F.max("copies")).scalar()
         bound = F.least(bound, F.call_function("div", bound, most))

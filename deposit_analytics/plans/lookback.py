@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -33,7 +33,9 @@ def lookback_window(balances: DataFrame, calendar: Calendar, months: int = LOOKB
     )
 
 
-def _literal_member(product: Column, codes: Iterable[str], inside: Column) -> Column:
+def _literal_member(product: Column, codes: Sequence[str], inside: Column) -> Column:
+    if isinstance(codes, str) or not isinstance(codes, Sequence):
+        raise TypeError("the order of the codes matters here: give a list or a tuple")
     *free, limited = codes
     bounded = (product == limited) & inside
     return columns.in_group(product, free) | bounded if free else bounded

@@ -26,6 +26,8 @@ EXPORT_COLUMNS = ("custno", "interest_free", "short_term", "term", "tenure_days"
 
 
 def _accounts(balances: DataFrame, calendar: Calendar | None, money: str, sign: str) -> DataFrame:
+    # Rows without a date are in no report; the test is pushed to the files.
+    balances = balances.where(F.col("snapshot").isNotNull())
     if calendar is not None:
         balances = balances.where(calendar.contains())
     return balance_ops.account_projection(balances, money, sign)
@@ -141,27 +143,35 @@ def wealth_by_group(
     groups: Mapping[str, Iterable[str]] = GROUP_JOB_CODES,
     threshold=GROUP_THRESHOLD,
     inclusive: bool = True,
+    tenure: customer_ops.Tenure | None = None,
     dedupe_customers: bool = False,
     money: str = MONEY,
     sign: str = "ignore",
 ) -> DataFrame:
     """custno, snapshot, one column per product group, tenure_days.
 
-    A customer must hold all groups on that snapshot, and their sum must reach
+    The tenure is counted to ``as_of`` unless ``tenure`` says otherwise. A
+    customer must hold all groups on that snapshot, and their sum must reach
     the threshold; both are decided before the join. Every customer type
     counts, and each customer row gives a row unless ``dedupe_customers``.
     """
+    if tenure is None:
+
+        def tenure(_, opened):
+            return tenures.as_of_date(as_of, opened)
+
     accounts = _accounts(balances, calendar, money, sign)
     sums = _all_groups(balance_ops.group_balances(accounts, groups, money), groups, threshold, inclusive)
     if dedupe_customers:
-        people = customers.groupBy("custno").agg(F.max("date_opened").alias("date_opened"))
+        latest = customer_ops.latest_opening(F.col("date_opened"))
+        people = customers.groupBy("custno").agg(latest.alias("date_opened"))
     else:
         people = customers.select("custno", "date_opened")
     return sums.join(people, "custno").select(
         "custno",
         "snapshot",
         *groups,
-        tenures.as_of_date(as_of, F.col("date_opened")).alias("tenure_days"),
+        tenure(F.col("snapshot"), F.col("date_opened")).alias("tenure_days"),
     )
 
 
@@ -191,7 +201,9 @@ def step_counts(
     """Row count of every step of ``wealth_by_group``: snapshot, step, n.
 
     Steps are the product groups, ``tenure`` (customer rows) and ``result``.
-    All counts of all dates come from one scan of the balances.
+    All counts of all dates come from one scan of the balances. With a calendar
+    every one of its dates is reported, those without balances with zeros;
+    without one, the dates that the balances hold.
     """
     accounts = _accounts(balances, calendar, money, sign)
     value, product = F.col("amount"), F.col("product")
@@ -216,8 +228,14 @@ def step_counts(
             *[F.sum(name).alias(name) for name in groups],
             F.coalesce(F.sum("copies"), F.lit(0)).alias("result"),
         )
-        .withColumn("tenure", customers.agg(F.count(F.lit(1))).scalar())
     )
+    if calendar is not None:
+        # One row per date on either side.
+        counts = calendar.days(balances.sparkSession).select("snapshot").join(counts, "snapshot", "left")
+        counts = counts.fillna(0, [*groups, "result"])
+    # Counting rows reads no column; the copies joined above leave out rows
+    # without a number, so their sum would need a scan of its own.
+    counts = counts.withColumn("tenure", customers.agg(F.count(F.lit(1))).scalar())
     steps = [*groups, "tenure", "result"]
     return counts.unpivot("snapshot", steps, "step", "n")
 

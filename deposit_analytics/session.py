@@ -24,7 +24,10 @@ def build_session(
     if master is not None:
         builder = builder.master(master)
     if shuffle_partitions is not None:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Adaptive execution merges partitions but never adds any.
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions)).config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(shuffle_partitions)
+        )
     for name, value in {**SETTINGS, **settings}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +17,16 @@ BY_SNAPSHOT = ("snapshot",)
 def counted(result: DataFrame, observation: Observation) -> DataFrame:
     """The same rows, counted while an action runs; no second job is needed.
 
-    ``observation.get["rows"]`` holds the count after the action. Put this last,
+    ``observation.get["rows"]`` holds the count after the action, and
+    ``["snapshots"]`` the dates if there is such a column. Put this last,
     after any shuffle: tasks of an action's last stage count once even when
     they are repeated after losing an executor, tasks of earlier stages do not.
     """
-    return result.observe(observation, F.count(F.lit(1)).alias("rows"))
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if BY_SNAPSHOT[0] in result.columns:
+        # A handful of values: one for each date of the report.
+        metrics.append(F.collect_set(*BY_SNAPSHOT).alias("snapshots"))
+    return result.observe(observation, *metrics)
 
 
 def _laid_out(
@@ -60,8 +65,8 @@ def write_parquet(
 def overwrite_snapshots(result: DataFrame, path: str, observation: Observation | None = None) -> None:
     """Replaces the snapshots that occur in ``result`` and leaves the others.
 
-    Running the same dates again gives the same table. A snapshot without rows
-    in ``result`` is left as it is, also when an earlier run had rows for it.
+    A snapshot without rows in ``result`` is left as it is, also when an earlier
+    run had rows for it; ``drop_snapshots`` removes such ones.
     """
     (
         _laid_out(result, BY_SNAPSHOT, observation)
@@ -72,6 +77,16 @@ def overwrite_snapshots(result: DataFrame, path: str, observation: Observation |
     )
 
 
+def drop_snapshots(spark: SparkSession, path: str, snapshots: Iterable[str]) -> None:
+    """Deletes the folders of these snapshots, if there are any, and nothing else."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for snapshot in snapshots:
+        folder = hadoop.Path(f"{path.rstrip('/')}/{BY_SNAPSHOT[0]}={snapshot}")
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if files.exists(folder):
+            files.delete(folder, True)
+
+
 def read_parquet_result(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Reads a stored result back under its own types.
 

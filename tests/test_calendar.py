@@ -54,7 +54,7 @@ def test_membership_agrees_with_the_day_table(spark, calendar):
         ("13960601", "13970231", "13970231"),
         ("13960601", "13960731", "13960730"),
         ("13960601", "13961231", "13961229"),
-        ("13960601", "13991231", "13971229"),
+        ("13960601", "13991231", "13991229"),
     ],
 )
 def test_last_day(spark, first, last, expected):
@@ -63,7 +63,7 @@ def test_last_day(spark, first, last, expected):
 
 
 def test_ranges_without_a_day(spark):
-    for calendar in (Calendar("13961230", "13961231"), Calendar("13800101", "13801229")):
+    for calendar in (Calendar("13961230", "13961231"), Calendar("13960201", "13960101")):
         assert days(spark, calendar) == calendar.dates() == []
         texts = spark.createDataFrame([("13961230",), ("13800101",)], "snapshot string")
         assert texts.where(calendar.contains()).count() == 0
@@ -91,6 +91,20 @@ def test_bad_bounds_are_refused(bad):
         Calendar(*bad)
 
 
+def test_years_are_those_of_the_range(spark):
+    late = Calendar("13970101", "14021229")
+    assert late.dates() == days(spark, late)
+    assert len(late.dates()) == 6 * 365
+    assert Calendar("14000101", "14001229").last_day() == "14001229"
+    assert Calendar("13950101", "13971229", years=(1391, 1397)).dates()[-1] == "13971229"
+
+
+@pytest.mark.parametrize("bad", [("13900101", "13960101"), ("13960101", "13980101")])
+def test_a_range_beyond_the_stated_years_is_refused(bad):
+    with pytest.raises(ValueError, match="years"):
+        Calendar(*bad, years=(1391, 1397))
+
+
 def test_bad_day_is_refused():
     with pytest.raises(ValueError):
         Calendar("13960101", "13970101", day="1")

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from deposit_analytics.functions import columns, tenure
+from deposit_analytics.operators import balances as balance_ops
 
 from helpers import point, truncated
 from helpers import tenure as book_tenure
@@ -106,3 +107,41 @@ def test_century_is_a_parameter(spark):
     frame = spark.createDataFrame([("010101",)], "opened string")
     got = frame.select(tenure.as_of_snapshot(F.lit("14020101"), F.col("opened"), century="14")).first()[0]
     assert got == 365
+
+
+@pytest.mark.parametrize("text, money", [("10000000000.50+", "bigint"), ("9" * 40 + "+", "decimal(38,2)"), ("9223372036854775808-", "bigint")])
+def test_a_number_that_does_not_fit_is_an_error(spark, text, money):
+    frame = spark.createDataFrame([("1+",), (text,)], "remaining string")
+    with pytest.raises(Exception, match="does not fit"):
+        frame.select(columns.amount(F.col("remaining"), money)).collect()
+
+
+def test_text_that_is_no_number_is_null(spark):
+    frame = spark.createDataFrame([("x+",), ("+",), ("NaN+",), (None,), ("",), ("--1+",), (" 7 +",)], "remaining string")
+    for money in ("bigint", "decimal(38,2)"):
+        got = [r[0] for r in frame.select(columns.amount(F.col("remaining"), money)).collect()]
+        assert got[:6] == [None] * 6
+        assert got[6] == 7
+
+
+def test_money_jobs_refuse_a_session_that_wraps(spark):
+    frame = spark.createDataFrame([("a", "01x", "1+", "13960101")], "custno string, acno string, remaining string, snapshot string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="ansi"):
+            balance_ops.account_projection(frame)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_unreadable_amounts_are_counted(spark):
+    rows = [("a", "01x", text, "13960101") for text in ("1+", "x+", "+", None, "2.5-", "", "1e3+")]
+    frame = spark.createDataFrame(rows, "custno string, acno string, remaining string, snapshot string")
+    assert balance_ops.scan_profile(frame).first().n_unreadable == 4
+
+
+def test_two_centuries(spark):
+    frame = spark.createDataFrame([("990101",), ("000101",), ("490101",), ("500101",), (None,), ("x",)], "opened string")
+    days = tenure.as_of_snapshot(F.lit("14050101"), F.col("opened"), cut_year=50)
+    got = [r[0] for r in frame.select(days).collect()]
+    assert got == [6 * 365, 5 * 365, -44 * 365, 55 * 365, None, None]

@@ -70,3 +70,17 @@ def test_windows_of_the_snapshots_held(spark):
     )
     got = lookback.lookback_window(held, CALENDAR)
     assert rows(got) == [("13960430", "13960730"), ("13961131", "13970231")]
+
+
+def test_the_order_of_the_codes_must_be_known(spark):
+    held = helpers.balances(spark, [("a", "01x", "1+", "13960601")])
+    for codes in ({"01", "03"}, "01"):
+        with pytest.raises(TypeError, match="order"):
+            lookback.lookback_balance(held, Calendar("13960601", "13970231"), groups={"free": codes}, strict_precedence=True)
+
+
+def test_rows_without_a_date_count_where_the_window_does_not_apply(spark):
+    held = helpers.balances(spark, [("a", "01x", "5+", None), ("a", "03x", "7+", None), ("a", "03x", "2+", "13970101")])
+    calendar = Calendar("13960601", "13970231")
+    assert rows(lookback.lookback_balance(held, calendar, strict_precedence=True)) == [("a", 7, None, None)]
+    assert rows(lookback.lookback_balance(held, calendar)) == [("a", 2, None, None)]

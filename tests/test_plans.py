@@ -61,9 +61,9 @@ def pivot(stored, kind, **options):
     return wealth.wealth_pivot(stored[kind], stored["people"], RANGE, threshold=10**7, money="bigint", **options)
 
 
-def by_group(stored, kind):
+def by_group(stored, kind, **options):
     return wealth.wealth_by_group(
-        stored[kind], stored["people"], dt.date(2018, 4, 21), RANGE, threshold=10**7, money="bigint"
+        stored[kind], stored["people"], dt.date(2018, 4, 21), RANGE, threshold=10**7, money="bigint", **options
     )
 
 
@@ -159,3 +159,11 @@ def test_lookback_window_is_a_literal_in_the_scan(spark, stored):
     plan = first_plan(lookback.lookback_balance(stored["flat"], Calendar("13960601", "13970231")))
     assert "GreaterThanOrEqual(snapshot,13961131)" in plan and "LessThanOrEqual(snapshot,13970231)" in plan
     assert len(shuffles(plan)) == 1
+
+
+@pytest.mark.parametrize("job", [pivot, by_group])
+def test_deduped_customers_need_no_sort(spark, stored, no_broadcast, job):
+    plan = first_plan(job(stored, "flat", dedupe_customers=True))
+    assert "SortAggregate" not in plan
+    # The customers move once, to the join.
+    assert sorted(keys(s) for s in shuffles(plan))[:2] == [["custno"], ["custno"]]

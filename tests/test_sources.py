@@ -173,3 +173,16 @@ def test_work_folder_without_the_setting():
         sinks.work_folder(FakeSession({"spark.master": "yarn"}), "x")
     shared = {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://host/shared/"}
     assert sinks.work_folder(FakeSession(shared), "x").startswith("hdfs://host/shared/x-")
+
+
+def test_a_rerun_drops_the_emptied_dates_of_its_calendar(spark, folder):
+    one = lambda custno, date: (custno, *OLD[0][1:-1], date)
+    first = [one("a", date) for date in ("13960101", "13960102", "13960201")]
+    runs.store_snapshots(frame(spark, first), folder)
+    calendar = Calendar("13960101", "13960131")
+    _, count = runs.store_snapshots(frame(spark, [one("b", "13960102")]), folder, calendar=calendar)
+    assert count == 1
+    assert back(spark, folder) == sorted([one("a", "13960201"), one("b", "13960102")], key=repr)
+    _, count = runs.store_snapshots(frame(spark, []), folder, calendar=calendar)
+    assert count == 0
+    assert back(spark, folder) == [one("a", "13960201")]

@@ -259,3 +259,45 @@ def test_tenure_formula_is_a_parameter(spark):
     assert pivot(spark, held, people, tenure=tenure.compat_v3)[0][-1] == 3650
     fixed = pivot(spark, held, people, tenure=lambda _, opened: tenure.as_of_date(AS_OF, opened))
     assert fixed[0][-1] == 746
+
+
+def test_rows_without_a_date_are_in_no_report(spark):
+    held = [("a", "01x", "9+", None), ("a", "02x", "9+", None), ("a", "04x", "9+", None)]
+    held += [(c, code, amount, "13960101") for c, code, amount, _ in held]
+    people = [("a", "01", "950115")]
+    tables = helpers.balances(spark, held), helpers.customers(spark, people)
+    assert [r[1] for r in rows(wealth.wealth_pivot(*tables, threshold=1))] == ["13960101"]
+    assert [r[1] for r in rows(wealth.customer_total(*tables))] == ["13960101"]
+    assert [r[1] for r in rows(wealth.wealth_by_group(*tables, dt.date(2018, 4, 21), threshold=1))] == ["13960101"]
+    assert {r[0] for r in rows(wealth.step_counts(*tables, threshold=1))} == {"13960101"}
+
+
+@pytest.mark.parametrize("threshold", [9999999999.5, "9999999999.5", Decimal("9999999999.5")])
+def test_fractional_thresholds_of_any_kind(spark, threshold):
+    held = [("a", "01x", "9999999999.5+", "13960101"), ("b", "01x", "9999999999.51+", "13960101")]
+    tables = helpers.balances(spark, held), helpers.customers(spark, [("a", "01", "950115"), ("b", "01", "950115")])
+    assert [r[0] for r in rows(wealth.wealth_pivot(*tables, threshold=threshold))] == ["b"]
+    assert [r[0] for r in rows(wealth.wealth_pivot(*tables, threshold=threshold, inclusive=True))] == ["a", "b"]
+
+
+def test_money_with_many_decimals_is_refused(spark):
+    tables = helpers.balances(spark, [("a", "01x", "1+", "13960101")]), helpers.customers(spark, [("a", "01", "950115")])
+    with pytest.raises(ValueError, match="decimals"):
+        wealth.wealth_pivot(*tables, money="decimal(38,10)")
+
+
+def test_step_counts_show_every_date_of_the_calendar(spark):
+    tables = helpers.balances(spark, [("a", "01x", "1+", "13960101")]), helpers.customers(spark, [(None, "01", None), ("a", "01", "950115")])
+    got = {(r.snapshot, r.step): r.n for r in wealth.step_counts(*tables, Calendar("13960101", "13960103")).collect()}
+    assert len(got) == 15
+    assert {step: n for (day, step), n in got.items() if day == "13960103"} == {
+        "interest_free": 0, "short_term": 0, "term": 0, "tenure": 2, "result": 0
+    }
+    assert got["13960101", "interest_free"] == 1
+
+
+def test_the_latest_opening_ignores_odd_texts(spark):
+    people = [("a", "01", "950115"), ("a", "01", "zzz"), ("a", "01", "081231"), ("a", "01", None), ("b", "01", "x")]
+    tables = helpers.balances(spark, [("a", "01x", "9+", "13970131"), ("b", "01x", "9+", "13970131")]), helpers.customers(spark, people)
+    got = wealth.wealth_pivot(*tables, threshold=1, dedupe_customers=True).select("custno", "tenure_days")
+    assert rows(got) == [("a", 746), ("b", None)]
