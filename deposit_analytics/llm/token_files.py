@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import sys
 import types
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from deposit_analytics.llm import shingles
 BLOCK = 128
 FRAME = 1 << 18
 END_ID = 0
-HELD_UNITS = 300_000
+HELD_UNITS = 600_000
 LONGEST_HELD = 48
 
 # Ids in a word by selector, and the selector of an escape.
@@ -81,7 +82,8 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         shifted[:, : BLOCK - (count - before)] = most[:, count - before :]
         most, before = np.maximum(most, shifted), count
         best[most <= PAYLOAD_BITS // count] = selector
-    values = np.concatenate([values, np.zeros((rows, COUNTS[-1]), np.uint64)], axis=1)
+    flat = np.concatenate([values, np.zeros((rows, COUNTS[-1]), np.uint64)], axis=1).ravel()
+    line = np.arange(rows) * (BLOCK + COUNTS[-1])
     sizes = np.full(rows, BLOCK)
     sizes[-1] = len(ids) - (rows - 1) * BLOCK
     at, step, words = np.zeros(rows, np.int64), np.zeros(rows, np.int64), np.zeros((rows, BLOCK), np.uint64)
@@ -92,8 +94,9 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             count = _COUNT_OF[selector]
             width = PAYLOAD_BITS // count
             word = np.full(len(mine), int(selector) << PAYLOAD_BITS, np.uint64)
+            first = line[mine] + at[mine]
             for place in range(count):
-                word |= values[mine, at[mine] + place] << np.uint64(place * width)
+                word |= flat[first + place] << np.uint64(place * width)
             words[mine, step[mine]] = word
             at[mine] += count
         step[active] += 1
@@ -141,7 +144,7 @@ class Encoder:
         self.specials = tuple(
             token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()
         )
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
     def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         kind = _CLASS[data]
@@ -170,16 +173,18 @@ class Encoder:
         coded = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, buffers).dictionary_encode()
         units = coded.dictionary.to_pylist()
         new = [unit for unit in units if unit not in self.known]
-        if len(self.known) + len(new) > HELD_UNITS:
-            self.known, new = {}, units
-        fresh: dict[str, np.ndarray] = {}
+        fresh: dict[str, bytes] = {}
         for first in range(0, len(new), 8192):
             part = new[first : first + 8192]
+            # Once full, the runs held stay: those met first are the frequent ones.
+            room = len(self.known) < HELD_UNITS
             for unit, done in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                (self.known if len(unit) <= LONGEST_HELD else fresh)[unit] = np.array(done.ids, np.uint32)
-        parts = [self.known[unit] if unit in self.known else fresh[unit] for unit in units]
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-        flat, starts = np.concatenate(parts), np.cumsum(lengths) - lengths
+                (self.known if room and len(unit) <= LONGEST_HELD else fresh)[unit] = array("I", done.ids).tobytes()
+        known = self.known
+        parts = [known[unit] if unit in known else fresh[unit] for unit in units]
+        flat = np.frombuffer(b"".join(parts), np.uint32)
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        starts = np.cumsum(lengths) - lengths
         codes = coded.indices.to_numpy()
         sizes = lengths[codes]
         ends = np.cumsum(sizes)
