@@ -59,7 +59,8 @@ def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.find_licenses(_table(spark, sf_dir, "documents"), license_scan.templates(spark))
+    found = license_scan.find_licenses(_table(spark, sf_dir, "documents"), license_scan.templates(spark))
+    return found.select("doc_id", "license_id", F.round("containment", 6).alias("containment"))
 
 
 def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,9 +104,10 @@ def op9_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.contained_items(
+    found = decontamination.contained_items(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     )
+    return found.select("doc_id", "item_id", F.round("similarity", 6).alias("similarity"))
 
 
 QUERIES = {
@@ -155,4 +157,108 @@ SELECT doc_id, size, source_size, target, source,
                  + greatest(0, least(size, budget % source_size - before)) END :: BIGINT AS taken
 FROM placed"""
 
-ORACLES = {"op1_source_mix": _MIX}
+# Distinct five-word shingles of a list of words; shorter texts have one.
+_SHINGLES = """list_distinct(list_transform(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1),
+                                    lambda i: array_to_string(w[i : i + 4], ' ')))"""
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+# Every document's shingles against every notice's.
+_LICENSES = (
+    rf"""
+WITH notices(license_id, text) AS (VALUES {", ".join(f"('{name}', '{text}')" for name, text in license_scan.NOTICES.items())}),
+plain AS (
+  SELECT NULL AS license_id, doc_id, text FROM documents
+  UNION ALL SELECT license_id, NULL, text FROM notices),
+split AS (
+  SELECT license_id, doc_id,
+         list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
+  FROM plain),
+parts AS (SELECT license_id, doc_id, unnest({_SHINGLES}) AS part FROM split),
+wanted AS (SELECT license_id, part, count(*) OVER (PARTITION BY license_id) AS parts FROM parts WHERE doc_id IS NULL)
+SELECT d.doc_id, n.license_id, round(count(*) / any_value(n.parts), 6) AS containment
+FROM parts d JOIN wanted n ON d.part = n.part
+WHERE d.doc_id IS NOT NULL
+GROUP BY d.doc_id, n.license_id HAVING count(*) >= {license_scan.THRESHOLD} * any_value(n.parts) - 1e-9"""
+)
+
+# Every vector against every other.
+_VECTORS = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding :: DOUBLE[] AS e,
+         coalesce(len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                  AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS usable
+  FROM embeddings),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.usable AND b.usable AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reached AS (
+  SELECT vec_id, vec_id AS other FROM vectors
+  UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a),
+components AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id)
+SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.a = v.vec_id) :: BIGINT AS n_links, c.component_id,
+       v.vec_id = c.component_id AS kept
+FROM vectors v JOIN components c ON v.vec_id = c.vec_id"""
+
+# All pairs of different shingle sets that share a shingle.
+_NEAR = f"""
+WITH RECURSIVE words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+sets AS (SELECT doc_id, list_sort({_SHINGLES}) AS parts FROM words),
+named AS (SELECT doc_id, parts, md5(array_to_string(parts, chr(10))) AS name FROM sets),
+classes AS (
+  SELECT name, min(doc_id) AS first, count(*) AS copies, any_value(parts) AS parts
+  FROM named WHERE len(parts) > 0 GROUP BY name),
+spread AS (SELECT name, len(parts) AS n, unnest(parts) AS part FROM classes),
+near AS (
+  SELECT a.name AS a, b.name AS b FROM spread a JOIN spread b ON a.part = b.part AND a.name <> b.name
+  GROUP BY a.name, b.name HAVING count(*) >= 0.8 * (any_value(a.n) + any_value(b.n) - count(*)) - 1e-9),
+reached AS (
+  SELECT name, name AS other FROM classes
+  UNION SELECT r.name, e.b FROM reached r JOIN near e ON r.other = e.a),
+tied AS (
+  SELECT r.name, min(c.first) AS class_id FROM reached r JOIN classes c ON r.other = c.name GROUP BY r.name),
+links AS (SELECT e.a AS name, sum(c.copies) AS links FROM near e JOIN classes c ON e.b = c.name GROUP BY e.a)
+SELECT d.doc_id, CAST(coalesce(c.copies - 1 + coalesce(l.links, 0), 0) AS BIGINT) AS n_links,
+       coalesce(t.class_id, d.doc_id) AS class_id
+FROM named d LEFT JOIN classes c ON d.name = c.name AND len(d.parts) > 0
+LEFT JOIN tied t ON c.name = t.name LEFT JOIN links l ON c.name = l.name"""
+
+# Digests of the payloads, without any archive.
+_CAPTURES = r"""
+WITH payloads AS (
+  SELECT page_id, regexp_replace(url, '[\x00-\x20\x7F]+', '%20', 'g') AS url, coalesce(html, '') AS payload FROM pages),
+bits AS (
+  SELECT *, CAST(CAST(unhex(sha1(payload)) AS BIT) AS VARCHAR) AS digest,
+         min(page_id) OVER (PARTITION BY payload) AS first
+  FROM payloads)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + CAST(list_sum(list_transform(range(0, 5), lambda j:
+           CASE WHEN substring(digest, CAST(5 * i + j + 1 AS BIGINT), 1) = '1' THEN (16 >> CAST(j AS INTEGER)) ELSE 0 END)) AS BIGINT), 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to, url
+FROM bits"""
+
+# Every document's shingles against every item's.
+_LEAKS = f"""
+WITH words AS (
+  SELECT doc_id, NULL AS item_id, {_WORDS} AS w FROM documents
+  UNION ALL SELECT NULL, item_id, {_WORDS} FROM benchmark),
+parts AS (SELECT doc_id, item_id, unnest({_SHINGLES}) AS part FROM words),
+weights AS (SELECT part, 1.0 :: DOUBLE / count(*) AS weight FROM parts WHERE doc_id IS NULL GROUP BY part),
+items AS (
+  SELECT item_id, p.part, weight, sum(weight) OVER (PARTITION BY item_id) AS whole
+  FROM parts p JOIN weights w ON p.part = w.part WHERE doc_id IS NULL)
+SELECT d.doc_id, i.item_id, round(sum(i.weight) / any_value(i.whole), 6) AS similarity
+FROM parts d JOIN items i ON d.part = i.part
+WHERE d.doc_id IS NOT NULL
+GROUP BY d.doc_id, i.item_id HAVING sum(i.weight) / any_value(i.whole) >= 0.8 - 1e-9"""
+
+ORACLES = {
+    "op1_source_mix": _MIX,
+    "op4_license_notices": _LICENSES,
+    "op5_near_vectors": _VECTORS,
+    "op7_shingle_jaccard_join": _NEAR,
+    "op9_capture_index": _CAPTURES,
+    "op10_benchmark_leaks": _LEAKS,
+}
