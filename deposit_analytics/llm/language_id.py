@@ -30,7 +30,7 @@ LEAST_SHARE = 0.001
 SMOOTHING = 0.5
 STRENGTH = 20.0
 MOST_EVIDENCE = 300.0
-LEAST_CONFIDENCE = 0.6
+LEAST_CONFIDENCE = 0.4
 
 # Lower-case letters and bytes of multi-byte characters stand for themselves,
 # everything else for a space.
@@ -66,6 +66,12 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return buckets[inside], counts[np.minimum(offsets, len(inside))]
 
 
+def letters(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether each text has a letter."""
+    counts = np.concatenate([[0], np.cumsum(_FOLDED[data] != 32)])
+    return np.diff(counts[offsets]) > 0
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names = batch.column("label").to_pylist()
@@ -141,10 +147,11 @@ def _score(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> Iterator[pa.
                     part.column("suffix"),
                     part.column("host"),
                     pa.array(counts.astype(np.int64)),
+                    pa.array(letters(data[low:high], offsets[first : last + 1] - low)),
                     pa.array(list(logs), pa.list_(pa.float64())),
                     pa.array(list(shares), pa.list_(pa.float64())),
                 ],
-                ["doc_id", "declared", "suffix", "host", "trigrams", "logs", "shares"],
+                ["doc_id", "declared", "suffix", "host", "trigrams", "letters", "logs", "shares"],
             )
 
 
@@ -165,10 +172,11 @@ def identify(records: DataFrame, model: Model, least_confidence: float = LEAST_C
     ``records`` has doc_id, text, declared, suffix and host; each may be NULL. A
     missing declaration says nothing, a missing suffix or host is a value of its
     own. ``kept`` is false when the best language's probability lies below
-    ``least_confidence`` or the text has no letters; ties go to the first
-    language by name. With a model without languages, lang is NULL and all
-    records are kept. Repeated rows are judged alike; an empty table gives no
-    rows.
+    ``least_confidence``, which half a text in another language does not bring
+    about, or the text has no letters. A text too short for a trigram goes by
+    the other evidence. Ties go to the first language by name. With a model
+    without languages, lang is NULL and all records are kept. Repeated rows are
+    judged alike; an empty table gives no rows.
     """
     names = model.languages
     records = records.select(
@@ -186,7 +194,7 @@ def identify(records: DataFrame, model: Model, least_confidence: float = LEAST_C
     table, count = model.table, len(names)
     scored = records.mapInArrow(
         lambda batches: _score(batches, table),
-        "doc_id long, declared string, suffix string, host string, trigrams long, logs array<double>, shares array<double>",
+        "doc_id long, declared string, suffix string, host string, trigrams long, letters boolean, logs array<double>, shares array<double>",
     )
     scored = stored(scored, "scores")
     shown = scored.where(F.col("trigrams") > 0)
@@ -226,7 +234,7 @@ def identify(records: DataFrame, model: Model, least_confidence: float = LEAST_C
         _best("weights", names).alias("lang"),
         "confidence",
         F.when(F.col("trigrams") > 0, _best("shares", names)).alias("text_lang"),
-        ((F.col("trigrams") > 0) & (F.col("confidence") >= least_confidence)).alias("kept"),
+        (F.col("letters") & (F.col("confidence") >= least_confidence)).alias("kept"),
     )
 
 

@@ -76,3 +76,12 @@ def test_no_labels(spark):
     docs = spark.createDataFrame([(1, "a text", None, "s")], "doc_id long, text string, lang string, source string")
     assert language_id.identified(docs).count() == 1
     assert language_id.identified(docs.limit(0)).count() == 0
+
+
+def test_short_and_mixed_texts_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language_id.fit(labelled(docs))
+    texts = {r.lang: r.text[:600] for r in docs.where("length(text) > 800").collect()}
+    rows = [(1, "a", "en", "s"), (2, "I", None, None), (3, texts["en"] + " " + texts["fr"], "en", "s")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert all(r.kept for r in language_id.identify(language_id.document_records(frame), model).collect())
