@@ -1,7 +1,7 @@
 """Stupid-backoff scores of documents, from n-gram counts of the whole corpus.
 
 Documents are gathered into chunks of some megabytes, stored as a word list and
-codes. Each chunk's distinct n-grams, with their counts in the chunk, go to the
+codes, in buckets by chunk. Each chunk's distinct n-grams, with their counts in the chunk, go to the
 partitions of their hashes. There the counts of all chunks are added up: that
 is the count table. The totals go back to the chunks that asked, where they are
 joined to the n-grams of every position and summed per document.
@@ -15,6 +15,7 @@ out, so that a text repeated elsewhere scores high and a unique one backs off.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,16 +26,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deposit_analytics.llm import shingles
-from deposit_analytics.llm.common import stored
+from deposit_analytics.sources import sinks
 
 ORDER = 2
 BACKOFF = 0.4
 UNSEEN = 0.5
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 PART_GRAMS = 2_000_000
 
 _STEP = np.uint64(0xA0761D6478BD642F)
 
+# Bytes of an n-gram's hash in its partition: the partition stands for the rest.
+GRAM_BYTES = 6
+
+
+def _cut(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of each number."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _uncut(raw: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    return out.view("<u8").ravel()
+
 
 def grams(words: np.ndarray, offsets: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For every n up to ``order``: the places that end an n-gram inside a document, and its hash."""
@@ -64,7 +79,7 @@ def _chunk(number: int, doc_ids: list, words: list[np.ndarray], sizes: list[np.n
             pa.array([doc_ids], pa.list_(pa.int64())),
             pa.array([counts.astype(np.int64).tobytes()], pa.binary()),
             pa.array([vocabulary.tobytes()], pa.binary()),
-            pa.array([codes.astype(np.uint32).tobytes()], pa.binary()),
+            pa.array([_cut(codes, 3 if len(vocabulary) < 1 << 24 else 4)], pa.binary()),
         ],
         ["chunk", "n_words", "n_grams", "doc_ids", "sizes", "vocabulary", "codes"],
     )
@@ -95,12 +110,14 @@ def _chunked(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.Recor
 
 def _opened(sizes: bytes, vocabulary: bytes, codes: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of a chunk, and the words before each document."""
-    words = np.frombuffer(vocabulary, np.uint64)[np.frombuffer(codes, np.uint32)]
-    return words, np.concatenate([[0], np.cumsum(np.frombuffer(sizes, np.int64))])
+    offsets = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, np.int64))])
+    if not len(codes):
+        return np.zeros(0, np.uint64), offsets
+    return np.frombuffer(vocabulary, np.uint64)[_uncut(codes, len(codes) // int(offsets[-1]))], offsets
 
 
 def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
-    return (hashes >> np.uint64(24)) % np.uint64(parts)
+    return (hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
 
 
 def _asked(batches: Iterator[pa.RecordBatch], order: int, parts: int) -> Iterator[pa.RecordBatch]:
@@ -116,7 +133,7 @@ def _asked(batches: Iterator[pa.RecordBatch], order: int, parts: int) -> Iterato
                     [
                         pa.array([int(place)]),
                         pa.array([row["chunk"]]),
-                        pa.array([hashes[mine].tobytes()], pa.binary()),
+                        pa.array([_cut(hashes[mine], GRAM_BYTES)], pa.binary()),
                         pa.array([counts[mine].astype(np.uint32).tobytes()], pa.binary()),
                     ],
                     ["part", "chunk", "grams", "counts"],
@@ -125,7 +142,7 @@ def _asked(batches: Iterator[pa.RecordBatch], order: int, parts: int) -> Iterato
 
 def _totals(group: pd.DataFrame) -> pd.DataFrame:
     """The count table of one part, answered to every chunk that asked."""
-    asked = [np.frombuffer(one, np.uint64) for one in group["grams"]]
+    asked = [_uncut(one, GRAM_BYTES) for one in group["grams"]]
     counts = np.concatenate([np.frombuffer(one, np.uint32) for one in group["counts"]])
     table, place = np.unique(np.concatenate(asked), return_inverse=True)
     totals = np.bincount(place, counts, len(table)).astype(np.uint64)[place]
@@ -186,6 +203,19 @@ def _scored(chunk: pd.DataFrame, answers: pd.DataFrame, order: int, parts: int,
     )
 
 
+def _bucketed(chunks: DataFrame) -> DataFrame:
+    """Stores the chunks in buckets, so that only the answers have to move to them."""
+    spark = chunks.sparkSession
+    name = f"chunks_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = sinks.work_folder(spark, "chunks")
+    chunks.write.bucketBy(buckets, "chunk").option("path", folder).option("compression", "zstd").saveAsTable(name)
+    table = spark.table(name)
+    # The files of an external table stay; only the name goes.
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def score(docs: DataFrame, *, order: int = ORDER) -> DataFrame:
     """Returns doc_id, n_words, log_score, mean_score, backed_off for each row of ``docs`` (doc_id, text).
 
@@ -199,7 +229,7 @@ def score(docs: DataFrame, *, order: int = ORDER) -> DataFrame:
     other. An empty table gives no rows. Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chunks = stored(docs.mapInArrow(lambda batches: _chunked(batches, order), _CHUNK), "chunks")
+    chunks = _bucketed(docs.mapInArrow(lambda batches: _chunked(batches, order), _CHUNK))
     words, asked = chunks.agg(F.sum("n_words"), F.sum("n_grams")).first()
     everything, parts = words or 0, (asked or 0) // PART_GRAMS + 1
     codes = chunks.select("chunk", "sizes", "vocabulary", "codes")
