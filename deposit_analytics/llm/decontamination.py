@@ -95,9 +95,11 @@ def _majority(counter: Column, planes: int) -> Column:
     return all_of if more is None else all_of.bitwiseOR(half.bitwiseAND(more))
 
 
-def _every(column: Column, ratio: int) -> Column:
-    """Every ``ratio``-th element, from the first."""
-    return column if ratio == 1 else F.filter(column, lambda _, i: i % ratio == 0)
+def _from(array: str, first: int, ratio: int) -> Column:
+    """Every ``ratio``-th element from the ``first``."""
+    if ratio == 1:
+        return F.filter(array, lambda _, i: i >= first) if first else F.col(array)
+    return F.filter(array, lambda _, i: (i >= first) & ((i - first) % ratio == 0))
 
 
 def _sums_of_two(hashes: str, step: int) -> Column:
@@ -112,7 +114,7 @@ def _sums_of_two(hashes: str, step: int) -> Column:
     return F.when(count >= 0, F.transform(F.sequence(F.lit(0), count), both)).otherwise(none)
 
 
-def _sums(left: str, right: str, planes: int) -> Column:
+def _sums(left: Column, right: Column, planes: int) -> Column:
     return F.zip_with(left, right, lambda a, b: _add(a, b, planes))
 
 
@@ -146,13 +148,8 @@ def _windows(frame: DataFrame, sizes: tuple[int, ...], steps: dict[int, int]) ->
             break
         # The grid widens as soon as no later class needs the finer one.
         wider = min(size * 2, min(steps[one] for one in sizes if one > size))
-        source, offset = f"sum{size}", size // step
-        count = F.floor((F.size(source) - offset + wider // step - 1) / (wider // step))
-        shifted = F.slice(source, F.lit(offset + 1), F.greatest(F.size(source) - offset, F.lit(0)))
-        frame = frame.withColumns(
-            {"left": _every(F.col(source), wider // step), "right": _every(shifted, wider // step)}
-        )
-        sums = F.slice(_sums("left", "right", planes), F.lit(1), F.greatest(count, F.lit(0)).cast("int"))
+        # A window that reaches beyond the text adds to nothing, and its print is NULL.
+        sums = _sums(_from(f"sum{size}", 0, wider // step), _from(f"sum{size}", size // step, wider // step), planes)
         size, step, planes = size * 2, wider, planes + 1
         frame = frame.withColumn(f"sum{size}", sums)
     return frame.withColumn("windows", F.concat(*found))
