@@ -132,9 +132,11 @@ class Encoder:
     """Ids of many texts, each distinct run between safe cuts encoded once.
 
     The tokenizer's byte-level pre-tokenizer never joins characters across the
-    end of a run of other characters and the space after it, across a line end
-    or tab and a character after it, or across an ASCII letter and ASCII
-    punctuation. Texts are cut there, runs that were met before are looked up,
+    end of a run of other characters and the space after it, or across an ASCII
+    letter and ASCII punctuation. Of several space characters before another
+    character it takes the last for itself: a space goes with the character, a
+    line end or tab stands alone. Texts are cut there, so before that last one
+    and, if it is no space, after it. Runs that were met before are looked up,
     and the library encodes the others. A text with a special token or with
     spaces beyond ASCII goes to the library whole. The runs held are bounded.
     """
@@ -155,6 +157,11 @@ class Encoder:
             | ((kind[:-1] == 2) & (space[1:] == 0))
             | ((kind[:-1] == 4) & (kind[1:] == 8))
         )
+        # The last of several space characters, unless the text ends with it.
+        last = np.zeros(len(data) + 1, bool)
+        last[1:-2] = (space[:-2] > 0) & (space[1:-1] > 0) & (space[2:] == 0)
+        last[offsets[1:] - 1] = False
+        cut |= last
         raw = data.tobytes()
         if any(raw.find(mark) >= 0 for mark in (*_MAYBE_WIDE, *self.specials)):
             for first, last in zip(offsets[:-1], offsets[1:], strict=True):

@@ -1,7 +1,9 @@
+import itertools
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -55,6 +57,18 @@ def test_cut_texts_encode_as_whole_ones(texts):
         assert ids[begins[k] : begins[k + 1]].tolist() == want, repr(text)
 
 
+def test_runs_of_space_characters_encode_as_in_whole_texts():
+    """Blank lines and every other run of up to four space characters, between words and at the ends."""
+    encode = token_files.Encoder(PATH)
+    runs = ["".join(run) for many in range(1, 5) for run in itertools.product(" \n\t\r", repeat=many)]
+    texts = ["a\n\nfoo", "First para.\n\nSecond para.", "a\n\n\n\nfoo", "", "a\n\n", "", "foo"]
+    texts += [f"{before}{run}{after}" for run in runs for before in ("", "a", "é.") for after in ("", "foo", "!x", "1é")]
+    ids, begins = encode(*shingles.text_bytes(pa.array(texts)))
+    for k, text in enumerate(texts):
+        want = encode.tokenizer.encode(text, add_special_tokens=False).ids
+        assert ids[begins[k] : begins[k + 1]].tolist() == want, repr(text)
+
+
 def test_query_equals_the_library(spark, tokenizer):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
