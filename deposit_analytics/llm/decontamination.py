@@ -18,12 +18,13 @@ Fingerprints are cut into four blocks of 16 bits. The index holds every item
 block with every single bit flipped, so two fingerprints that differ in at most
 seven bits agree with it in some block: no pair within that radius is lost. The
 smaller classes, looked up for untouched runs, go without flips (three bits).
-Candidates are then checked exactly, on the weights of the item's shingles.
+Candidates are then checked exactly, on the weights of the item's shingles that
+the whole document holds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deposit_analytics.llm.common import SPACES, stored
@@ -242,32 +243,49 @@ def _candidates(docs: DataFrame, items: DataFrame, sizes: tuple[int, ...]) -> Da
     )
 
 
-def _weighted(items: DataFrame) -> DataFrame:
-    """item, item_id, long, whole, parts: distinct shingles with weights, and the weight of all.
+def _weights(items: DataFrame) -> DataFrame:
+    """item, shingle, weight, whole: distinct shingles, and the weight of all those of the item.
 
     A shingle that several items share says less: it weighs one over their number.
     """
     single = items.select("item", F.explode(F.array_distinct("shingles")).alias("shingle"))
-    weights = single.groupBy("shingle").agg((F.lit(1.0) / F.count("*")).alias("weight"))
-    parts = (
-        single.join(weights, "shingle")
-        .groupBy("item")
-        .agg(
-            F.sum("weight").alias("whole"),
-            F.sort_array(F.collect_list(F.struct("shingle", "weight"))).alias("parts"),
-        )
+    shared = single.groupBy("shingle").agg((F.lit(1.0) / F.count("*")).alias("weight"))
+    whole = F.sum("weight").over(Window.partitionBy("item"))
+    return single.join(shared, "shingle").select("item", "shingle", "weight", whole.alias("whole"))
+
+
+def _places(found: DataFrame, scored: DataFrame, shingled: DataFrame, items: DataFrame, weights: DataFrame) -> DataFrame:
+    """doc_id, item, at: where most of the item's weight lies within its length, the first of equals."""
+    parts = weights.groupBy("item").agg(F.collect_list(F.struct("shingle", "weight")).alias("parts"))
+    long = items.select("item", F.size("shingles").alias("long"))
+    pad = F.floor(F.col("long") / 4).cast("int") + 8
+    first = F.greatest(F.col("at") - pad, F.lit(0))
+    last = F.col("at") + F.col("long") + pad
+    span = F.slice("doc_shingles", first + 1, F.greatest(last - first, F.lit(0)))
+    near = F.aggregate(
+        "parts",
+        F.lit(0.0),
+        lambda total, part: total + F.when(F.array_contains(F.col("span"), part["shingle"]), part["weight"]).otherwise(0.0),
     )
-    return items.select("item", "item_id", F.size("shingles").alias("long")).join(parts, "item")
+    spans = (
+        found.join(scored.select("doc_id", "item"), ["doc_id", "item"])
+        .join(shingled, "doc_id")
+        .join(long, "item")
+        .join(parts, "item")
+        .select("doc_id", "item", "at", "parts", span.alias("span"))
+        .select("doc_id", "item", "at", near.alias("near"))
+    )
+    return spans.groupBy("doc_id", "item").agg(F.min_by("at", F.struct(-F.col("near"), F.col("at"))).alias("at"))
 
 
 def contained_items(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """Returns doc_id, item_id, similarity, at for every item found in a document.
 
     The similarity is the share of the weight of the item's distinct shingles
-    that occurs where the item lies in the document: around the place that its
-    fingerprint shows, with a quarter of the item's length and eight shingles
-    to either side. It is at least ``threshold``; ``at`` is the first of the
-    best places, as the number of the word there. Words are runs of non-space
+    that occurs anywhere in the document, so parts that lie apart add up. It is
+    at least ``threshold``. ``at`` is the place, as the number of the word there,
+    around which most of that weight lies (with a quarter of the item's length
+    and eight shingles to either side), the first of equals. Words are runs of non-space
     characters. A text of one to four words has one shingle and matches only its
     like; texts without words or NULL, and rows without doc_id, match nothing.
     Rows that repeat a doc_id or an item are reported once. Empty tables give
@@ -279,26 +297,35 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, *, threshold: float =
     if not sizes:
         sizes = CLASSES[:1]
     found = stored(_candidates(docs, items, sizes), "found")
-    around = found.join(F.broadcast(_weighted(items)) if items.count() <= BROADCAST_ROWS else _weighted(items), "item")
+    weights = stored(_weights(items), "weights")
+    few = weights.count() <= BROADCAST_ROWS
+
+    def small(frame: DataFrame) -> DataFrame:
+        return F.broadcast(frame) if few else frame
+
     texts = docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi")
-    hashed = texts.select("doc_id", word_hashes(F.col("text")).alias("words"))
-    shingled = hashed.select("doc_id", shingle_hashes("words").alias("doc_shingles"))
-    pad = F.floor(F.col("long") / 4).cast("int") + 8
-    first = F.greatest(F.col("at") - pad, F.lit(0))
-    last = F.col("at") + F.col("long") + pad
-    span = F.slice("doc_shingles", first + 1, F.greatest(last - first, F.lit(0)))
-    shared = F.aggregate(
-        "parts",
-        F.lit(0.0),
-        lambda total, part: total + F.when(F.array_contains(F.col("span"), part["shingle"]), part["weight"]).otherwise(0.0),
+    # Rows that repeat a doc_id with another text are judged on their own.
+    hashed = texts.select("doc_id", F.xxhash64("text").alias("row"), word_hashes(F.col("text")).alias("words"))
+    shingled = hashed.select("doc_id", "row", shingle_hashes("words").alias("doc_shingles"))
+    held = (
+        found.select("doc_id", "item")
+        .distinct()
+        .join(shingled, "doc_id")
+        .join(small(items.select("item", "shingles")), "item")
+        .select("doc_id", "row", "item", F.explode_outer(F.array_intersect("shingles", "doc_shingles")).alias("shingle"))
+        .distinct()
     )
     scored = (
-        around.join(shingled, "doc_id")
-        .select("doc_id", "item_id", "at", "whole", "parts", span.alias("span"))
-        .select("doc_id", "item_id", "at", (shared / F.col("whole")).alias("similarity"))
+        held.join(small(weights), ["item", "shingle"])
+        .groupBy("doc_id", "row", "item")
+        .agg((F.sum("weight") / F.first("whole")).alias("similarity"))
+        .groupBy("doc_id", "item")
+        .agg(F.max("similarity").alias("similarity"))
         .where(F.col("similarity") >= threshold - 1e-9)
     )
-    return scored.groupBy("doc_id", "item_id").agg(
+    named = scored.join(small(items.select("item", "item_id")), "item")
+    placed = named.join(_places(found, scored, shingled, items, weights), ["doc_id", "item"], "left")
+    return placed.groupBy("doc_id", "item_id").agg(
         F.max("similarity").alias("similarity"),
         F.greatest(F.min_by("at", F.struct(-F.col("similarity"), F.col("at"))), F.lit(0)).alias("at"),
     )

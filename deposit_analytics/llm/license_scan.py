@@ -8,7 +8,9 @@ band: two windows of Jaccard similarity J share a band with probability
 1 - (1 - J)^4, which is 0.998 at 0.8 and certain for equal windows. A template
 is indexed by its windows at every offset, so a copy meets an equal window
 wherever it begins. Templates that share a band are then checked exactly, by
-the share of their shingles that the document holds at that place.
+the share of their shingles that the whole document holds. So that parts of a
+template that lie apart are found too, single shingles of it are also looked up,
+as many as no document with enough of the template can lack.
 
 Minima of large windows are the least of those of two halves.
 """
@@ -143,14 +145,35 @@ def _index(known: DataFrame, sizes: list[int]) -> DataFrame:
     ).distinct()
 
 
+def _held(shingles: str) -> Column:
+    """How many of ``parts`` are among the shingles."""
+    return F.size(F.array_intersect("parts", shingles))
+
+
+def _telling(known: DataFrame, threshold: float) -> DataFrame:
+    """key, template, offset of single shingles, of which every text with enough of the template holds one.
+
+    A text that holds ``threshold`` of the distinct shingles lacks at most the
+    rest, so one more than the rest cannot all be lacking, wherever they lie.
+    """
+    distinct = F.array_sort(F.array_distinct("shingles"))
+    lacking = F.floor((1 - threshold) * F.size(distinct) + 1e-6).cast("int")
+    chosen = known.select("template", "shingles", F.explode(F.slice(distinct, F.lit(1), lacking + 1)).alias("shingle"))
+    offset = (F.array_position("shingles", F.col("shingle")) - 1).cast("int")
+    return chosen.select(
+        "template", offset.alias("offset"), F.xxhash64(F.lit(1), F.lit(0), F.col("shingle")).alias("key")
+    )
+
+
 def find_licenses(docs: DataFrame, notices: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """Returns doc_id, license_id, containment, at for every notice found in a document.
 
     ``notices`` has license_id and text. The containment is the share of the
-    notice's distinct shingles that lie where its window was found, within a
-    quarter of the notice's length and eight shingles to either side; it is at
-    least ``threshold``. ``at`` is the first of the best places, as the number
-    of the word there. Notices of fewer than five words match only texts that
+    notice's distinct shingles that occur anywhere in the document, so parts
+    that lie apart add up; it is at least ``threshold``. ``at`` is the place, as
+    the number of the word there, around which most of them lie (within a quarter
+    of the notice's length and eight shingles to either side), the first of
+    equals. Notices of fewer than five words match only texts that
     are nothing else. Notices and texts without words or NULL, and rows without
     doc_id, match nothing. Rows that repeat a doc_id or a notice are reported
     once. Empty tables give no rows. Other columns are ignored.
@@ -163,7 +186,8 @@ def find_licenses(docs: DataFrame, notices: DataFrame, *, threshold: float = THR
     known = known.where(F.size("shingles") > 0).withColumn("class", template_class(F.size("shingles")))
     known = stored(known, "templates")
     sizes = sorted(row[0] for row in known.select("class").distinct().collect()) or [1]
-    index = stored(_index(known, sizes), "template_index")
+    index = stored(_index(known, sizes).unionByName(_telling(known, threshold)).distinct(), "template_index")
+    sizes = sorted({1, *sizes})
     small = index.count() <= BROADCAST_ROWS
     overlap = 2 * max(sizes) + WIDTH
     step = SEGMENT - SEGMENT % max(CLASSES.values())
@@ -196,22 +220,37 @@ def find_licenses(docs: DataFrame, notices: DataFrame, *, threshold: float = THR
         "notices",
     )
     whole = known.select("template", "license_id", F.array_distinct("shingles").alias("parts"), F.size("shingles").alias("long"))
+    whole = F.broadcast(whole) if small else whole
     texts = docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi")
     held = texts.select("doc_id", word_hashes(F.col("text")).alias("words")).select(
         "doc_id", shingle_hashes("words").alias("shingles")
     )
+    scored = (
+        found.select("doc_id", "template")
+        .distinct()
+        .join(held, "doc_id")
+        .join(whole, "template")
+        .select("doc_id", "template", "license_id", (_held("shingles") / F.size("parts")).alias("containment"))
+        .where(F.col("containment") >= threshold - 1e-9)
+        .groupBy("doc_id", "template", "license_id")
+        .agg(F.max("containment").alias("containment"))
+    )
     pad = F.floor(F.col("long") / 4).cast("int") + 8
     first = F.greatest(F.col("at") - pad, F.lit(0))
     span = F.slice("shingles", first + 1, F.greatest(F.col("at") + F.col("long") + pad - first, F.lit(0)))
-    share = F.size(F.array_intersect("parts", "span")) / F.size("parts")
-    scored = (
-        found.join(F.broadcast(whole) if small else whole, "template")
+    spans = (
+        found.join(scored.select("doc_id", "template"), ["doc_id", "template"])
         .join(held, "doc_id")
-        .select("doc_id", "license_id", "at", "parts", span.alias("span"))
-        .select("doc_id", "license_id", "at", share.alias("containment"))
-        .where(F.col("containment") >= threshold - 1e-9)
+        .join(whole, "template")
+        .select("doc_id", "template", "at", "parts", span.alias("span"))
+        .select("doc_id", "template", "at", _held("span").alias("near"))
     )
-    return scored.groupBy("doc_id", "license_id").agg(
-        F.max("containment").alias("containment"),
-        F.greatest(F.min_by("at", F.struct(-F.col("containment"), F.col("at"))), F.lit(0)).alias("at"),
+    places = spans.groupBy("doc_id", "template").agg(F.min_by("at", F.struct(-F.col("near"), F.col("at"))).alias("at"))
+    return (
+        scored.join(places, ["doc_id", "template"], "left")
+        .groupBy("doc_id", "license_id")
+        .agg(
+            F.max("containment").alias("containment"),
+            F.greatest(F.min_by("at", F.struct(-F.col("containment"), F.col("at"))), F.lit(0)).alias("at"),
+        )
     )

@@ -34,6 +34,19 @@ def test_items_at_any_place_and_with_edits(spark, many):
     assert run(spark, rows, items) == want(rows, items)
 
 
+def test_parts_of_an_item_that_lie_apart_add_up(spark):
+    item = [f"w{k}" for k in range(44)]
+    fill = [f"f{k}" for k in range(5000)]
+    rows = [
+        (1, " ".join(item[:22] + fill[:60] + item[22:])),
+        (2, " ".join(["x", *item[:22], *fill, *item[22:], "y"])),
+        (3, " ".join(item[:22] + fill[:60])),
+        (3, " ".join(item[22:] + fill[:60])),
+    ]
+    items = [(1, " ".join(item))]
+    assert run(spark, rows, items) == {(1, 1): 0.9, (2, 1): 0.9} == {**want(rows[:2], items)}
+
+
 def test_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")

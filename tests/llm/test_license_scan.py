@@ -27,6 +27,18 @@ def test_notices_at_any_place_and_with_edits(spark):
     assert run(spark, rows, license_scan.NOTICES) == want(rows, license_scan.NOTICES)
 
 
+def test_parts_of_a_notice_that_lie_apart_add_up(spark):
+    notices = {"long": " ".join(f"w{k}" for k in range(44)), "short": " ".join(f"v{k}" for k in range(26))}
+    rows = []
+    for text in notices.values():
+        tokens = text.split()
+        for cut in range(5, len(tokens) - 4):
+            for inserted in (60, 5000):
+                rows.append((len(rows), " ".join(tokens[:cut] + [f"f{k}" for k in range(inserted)] + tokens[cut:])))
+    assert run(spark, rows, notices) == want(rows, notices)
+    assert len(want(rows, notices)) == len(rows)
+
+
 def test_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
