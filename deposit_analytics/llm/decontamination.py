@@ -5,9 +5,9 @@ as many shingles as the items have, in size classes that double, and each
 window gets a 64-bit SimHash: bit by bit the majority of its shingles' hashes.
 An item is described by the windows of its class at every offset, so wherever a
 copy begins in a document, the document's grid holds a window that lies on one
-of the item's. It is also described by those of the smaller classes from eight
-shingles: a changed word spoils five shingles, and an item with a similarity of
-0.8 keeps an untouched run of at least that length.
+of the item's. It is also described by single shingles, its heaviest, as many as
+weigh more than a document with enough of the item may lack: every such document
+holds one of them, however edits and insertions have cut the item up.
 
 Counting 64 majorities for every window is done on whole words of bits: the
 counters of all 64 bits are kept as planes (all lowest bits in one number, all
@@ -16,9 +16,8 @@ and XOR. Large windows are sums of smaller ones.
 
 Fingerprints are cut into four blocks of 16 bits. The index holds every item
 block with every single bit flipped, so two fingerprints that differ in at most
-seven bits agree with it in some block: no pair within that radius is lost. The
-smaller classes, looked up for untouched runs, go without flips (three bits).
-Candidates are then checked exactly, on the weights of the item's shingles that
+seven bits agree with it in some block: no pair within that radius is lost.
+Single shingles are looked up whole. Candidates are then checked exactly, on the weights of the item's shingles that
 the whole document holds.
 """
 
@@ -36,6 +35,7 @@ BLOCKS = 4
 BLOCK_BITS = 16
 CLASSES = (1, 4, 8, 16, 32, 64)
 SMALLEST = 8
+SINGLE = 0
 SEGMENT = 4096
 BROADCAST_ROWS = 2_000_000
 
@@ -44,10 +44,7 @@ _TRIMMED = " \t\n\x0b\f\r"
 
 
 def stride(size: int) -> int:
-    """Shingles between the windows of a class.
-
-    The smallest classes also stand for untouched runs and lie closer.
-    """
+    """Shingles between the windows of a class; those of the smallest classes lie closer."""
     return max(1, size // 4) if size <= SMALLEST else size // 2
 
 
@@ -166,11 +163,10 @@ def _block_key(size: Column, block: int, value: Column) -> Column:
 
 
 def _flipped(block: int) -> Column:
-    """Keys of a block of ``window``: as it is, and in the item's class with each bit flipped."""
+    """Keys of a block of ``window``: as it is, and with each bit flipped."""
     flips = [F.lit(flip).cast("long") for flip in (0, *(1 << bit for bit in range(BLOCK_BITS)))]
-    used = F.when(F.col("window.size") == F.col("class"), F.array(*flips)).otherwise(F.array(flips[0]))
     value = _block_value(F.col("window.print"), block)
-    return F.transform(used, lambda flip: _block_key(F.col("window.size"), block, value.bitwiseXOR(flip)))
+    return F.transform(F.array(*flips), lambda flip: _block_key(F.col("window.size"), block, value.bitwiseXOR(flip)))
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
@@ -185,11 +181,10 @@ def items_of(benchmark: DataFrame) -> DataFrame:
 
 
 def _index(items: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
-    """key, item, offset, item_print: the blocks of all windows of the items."""
+    """key, item, offset, item_print: the blocks of all windows of the items in their class."""
     every = _windows(items, sizes, dict.fromkeys(sizes, 1))
-    least = F.least(F.col("class"), F.lit(SMALLEST))
     prints = every.select("item", "class", F.explode_outer("windows").alias("window")).where(
-        F.col("window.size").between(least, F.col("class"))
+        F.col("window.size") == F.col("class")
     )
     keys = F.concat(*[_flipped(block) for block in range(BLOCKS)])
     return prints.select(
@@ -200,9 +195,21 @@ def _index(items: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
     )
 
 
-def _candidates(docs: DataFrame, items: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
+def _telling(items: DataFrame, weights: DataFrame, threshold: float) -> DataFrame:
+    """The same for single shingles of the items, the heaviest, that weigh more than a match may lack."""
+    order = Window.partitionBy("item").orderBy(F.desc("weight"), "shingle")
+    heavier = F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    chosen = weights.withColumn("heavier", F.coalesce(heavier, F.lit(0.0))).where(
+        F.col("heavier") <= (1 - threshold + 1e-6) * F.col("whole")
+    )
+    offset = (F.array_position("shingles", F.col("shingle")) - 1).cast("int")
+    return chosen.join(items.select("item", "shingles"), "item").select(
+        F.col("shingle").alias("key"), "item", offset.alias("offset"), F.col("shingle").alias("item_print")
+    )
+
+
+def _candidates(docs: DataFrame, items: DataFrame, sizes: tuple[int, ...], telling: DataFrame) -> DataFrame:
     """Distinct (doc_id, item, at): the item's shingle 0 would lie on the document's shingle ``at``."""
-    sizes = tuple(size for size in CLASSES if size in sizes or SMALLEST <= size <= max(sizes))
     overlap = max(sizes) + max(stride(size) for size in sizes) + WIDTH
     step = SEGMENT - SEGMENT % max(stride(size) for size in sizes)
     hashed = docs.select("doc_id", word_hashes(F.col("text")).alias("hashed"))
@@ -220,9 +227,15 @@ def _candidates(docs: DataFrame, items: DataFrame, sizes: tuple[int, ...]) -> Da
     )
     shingled = segments.withColumn("shingles", shingle_hashes("words")).select("doc_id", "from", "shingles")
     covered = _windows(shingled, sizes, {size: stride(size) for size in sizes})
-    windows = covered.select("doc_id", "from", F.explode_outer("windows").alias("window"))
+    singles = F.transform(
+        "shingles", lambda one, i: F.struct(F.lit(SINGLE).alias("size"), i.alias("start"), one.alias("print"))
+    )
+    windows = covered.select("doc_id", "from", F.explode_outer(F.concat("windows", singles)).alias("window"))
+    single = F.col("window.size") == SINGLE
     keys = {
-        f"key{block}": _block_key(F.col("window.size"), block, _block_value(F.col("window.print"), block))
+        f"key{block}": F.when(single, F.lit(None) if block else F.col("window.print")).otherwise(
+            _block_key(F.col("window.size"), block, _block_value(F.col("window.print"), block))
+        )
         for block in range(BLOCKS)
     }
     place = (F.col("from") + F.col("window.start")).alias("start")
@@ -231,7 +244,7 @@ def _candidates(docs: DataFrame, items: DataFrame, sizes: tuple[int, ...]) -> Da
     )
     # Unpivot stays inside generated code, up to the look-up in the index.
     probes = prints.unpivot(["doc_id", "start", "print"], list(keys), "block", "key")
-    index = stored(_index(items, sizes), "index")
+    index = stored(_index(items, sizes).unionByName(telling), "index")
     # The index grows with the benchmark alone; a large one is joined by shuffling.
     known = F.broadcast(index) if index.count() <= BROADCAST_ROWS else index
     near = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS
@@ -296,8 +309,8 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, *, threshold: float =
     sizes = tuple(sorted(row[0] for row in items.select("class").distinct().collect()))
     if not sizes:
         sizes = CLASSES[:1]
-    found = stored(_candidates(docs, items, sizes), "found")
     weights = stored(_weights(items), "weights")
+    found = stored(_candidates(docs, items, sizes, _telling(items, weights, threshold)), "found")
     few = weights.count() <= BROADCAST_ROWS
 
     def small(frame: DataFrame) -> DataFrame:

@@ -47,6 +47,34 @@ def test_parts_of_an_item_that_lie_apart_add_up(spark):
     assert run(spark, rows, items) == {(1, 1): 0.9, (2, 1): 0.9} == {**want(rows[:2], items)}
 
 
+@pytest.mark.parametrize("many", [9, 10, 20])
+def test_short_runs_at_odd_and_even_places(spark, many):
+    """Edge words changed, words inserted in the middle: runs of eight shingles at any place."""
+    items, rows = [], []
+    for k in range(12):
+        tokens = [f"i{k}w{place}" for place in range(many + 4)]
+        items.append((k, " ".join(tokens)))
+        edits = [["edit", *tokens[1:]], [*tokens[:-1], "edit"]]
+        if many != 9:
+            edits += [["edit", "edit", *tokens[2:]], [*tokens[:-2], "edit", "edit"], ["edit", *tokens[1:-1], "edit"]]
+        if many == 20:
+            edits.append([*tokens[:12], "in", "serted", *tokens[12:]])
+        for edit in edits:
+            for before in range(4):
+                rows.append((len(rows), " ".join([f"f{len(rows)}x{place}" for place in range(before)] + edit + ["tail"] * 9)))
+    assert run(spark, rows, items) == want(rows, items)
+    assert len(want(rows, items)) == len(rows)
+
+
+def test_few_heavy_shingles_tell_an_item(spark):
+    """Four shingles of its own outweigh those that an item shares with a hundred others."""
+    common = "the answer to the question that was asked above is one of"
+    items = [(k, f"{common} own{k}a own{k}b own{k}c own{k}d") for k in range(100)]
+    rows = [(k, f"{'x ' * k}was asked above is one of own{k}a own{k}b own{k}c own{k}d y") for k in range(0, 100, 9)]
+    assert run(spark, rows, items) == want(rows, items)
+    assert len(want(rows, items)) == len(rows)
+
+
 def test_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
