@@ -26,7 +26,6 @@ from deposit_analytics.llm.common import stored
 
 BUCKET_BITS = 16
 SAMPLE = 2000
-LEAST_SHARE = 0.001
 SMOOTHING = 0.5
 STRENGTH = 20.0
 MOST_EVIDENCE = 300.0
@@ -89,18 +88,16 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE, least_share: float = LEAST_SHARE) -> Model:
+def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """Fits the text model on about ``sample`` rows a language of (doc_id, text, label).
 
-    The rows are those with the least hashes of doc_id, so reruns agree. What
-    comes to the driver is bounded by languages times trigram buckets. A label
-    is a language if it has at least ``least_share`` of the labelled rows, so
-    there are a thousand at most. Rows with NULL as label are left out.
+    The rows are those with the least hashes of doc_id, so reruns agree; a label
+    with fewer rows is fitted on all of them. Every label is a language. What
+    comes to the driver is bounded by languages times trigram buckets. Rows with
+    NULL as label are left out.
     """
     labelled = labelled.select("doc_id", "text", "label").where(F.col("label").isNotNull())
-    counts = labelled.groupBy("label").agg(F.count("*").alias("n"))
-    often = F.col("n") >= least_share * counts.agg(F.sum("n")).scalar()
-    sizes = {row.label: row.n for row in counts.where(often).collect()}
+    sizes = {row.label: row.n for row in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return Model((), np.zeros((0, 1 << BUCKET_BITS), np.float32))
     share = reduce(

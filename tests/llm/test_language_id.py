@@ -85,3 +85,17 @@ def test_short_and_mixed_texts_stay(spark):
     rows = [(1, "a", "en", "s"), (2, "I", None, None), (3, texts["en"] + " " + texts["fr"], "en", "s")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     assert all(r.kept for r in language_id.identify(language_id.document_records(frame), model).collect())
+
+
+def test_a_label_with_few_rows_is_a_language(spark):
+    """Five rows among ten thousand, and a further text in that language without a declaration."""
+    words = "kala vesi metsa taivas lintu puu kivi jarvi talvi kesa poika tytto leipa maito".split()
+    rare = [" ".join(words[(k * j + j) % len(words)] for j in range(300)) for k in (3, 5, 9, 11, 13, 15)]
+    common = "the house of the river and a garden with many flowers near this old town"
+    rows = [(k, f"{common} {k}", "en", "s") for k in range(10_000)] + [(20_000 + k, one, "fi", "s") for k, one in enumerate(rare)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = language_id.fit(labelled(docs.where("doc_id <> 20005")))
+    assert model.languages == ("en", "fi")
+    records = language_id.document_records(docs.withColumn("lang", F.when(F.col("doc_id") != 20005, F.col("lang"))))
+    found = {r.doc_id: r.lang for r in language_id.identify(records, model).collect()}
+    assert {k: one for k, one in found.items() if one != "en"} == {20_000 + k: "fi" for k in range(6)}
