@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deposit_analytics.llm import (
+    blob_ledger,
     chosen_path,
     decontamination,
     embedding_dedup,
@@ -14,9 +15,11 @@ from deposit_analytics.llm import (
     license_scan,
     lm_scores,
     mixing,
+    prefix_trie,
     sharding,
     token_files,
     warc,
+    whitening,
 )
 from deposit_analytics.llm.common import stored, word_count
 from deposit_analytics.sources import sinks
@@ -110,6 +113,32 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", F.round("similarity", 6).alias("similarity"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
+def op12_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    versions = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text")
+    folder = sinks.work_folder(spark, "ledger")
+    blob_ledger.open_ledger(spark, folder)
+    found = blob_ledger.findings(blob_ledger.scan(versions, folder), folder)
+    kinds = F.transform("findings", lambda one: one["kind"])
+    base = F.filter("findings", lambda one: one["place"] <= len(blob_ledger.BASE))
+    return found.select(
+        F.col("path").alias("doc_id"),
+        *[
+            (F.size(kinds) - F.size(F.array_remove(kinds, rule.kind))).cast("long").alias(f"n_{rule.kind}")
+            for rule in blob_ledger.BASE
+        ],
+        F.sha2(blob_ledger.joined(base), 256).alias("base_sha256"),
+        blob_ledger.joined(F.col("findings")).alias("spans"),
+    )
+
+
+def op13_bit_sliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_token_files": op2_token_files,
@@ -122,6 +151,9 @@ QUERIES = {
     "op8_contiguous_shards": op8_contiguous_shards,
     "op9_capture_index": op9_capture_index,
     "op10_benchmark_leaks": op10_benchmark_leaks,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_blob_ledger": op12_blob_ledger,
+    "op13_bit_sliced_whitening": op13_bit_sliced_whitening,
 }
 
 # The mix in one window over everything, where the operator adds up buckets.
