@@ -45,7 +45,7 @@ class SpillingQueue:
     """
 
     def __init__(self, most: int = QUEUE_MESSAGES):
-        self.most, self.held, self.runs = most, [], []
+        self.most, self.held, self.runs, self.spilled = most, [], [], 0
 
     def push(self, message: tuple[int, ...]) -> None:
         heapq.heappush(self.held, message)
@@ -53,8 +53,8 @@ class SpillingQueue:
             file = tempfile.TemporaryFile()  # noqa: SIM115
             file.writelines(struct.pack(MESSAGE, *one) for one in sorted(self.held))
             file.seek(0)
-            self.held = []
-            self._advance(iter(lambda: file.read(struct.calcsize(MESSAGE)), b""), len(self.runs))
+            self.held, self.spilled = [], self.spilled + 1
+            self._advance(iter(lambda: file.read(struct.calcsize(MESSAGE)), b""), self.spilled)
 
     def _advance(self, run: Iterator[bytes], number: int) -> None:
         if raw := next(run, None):

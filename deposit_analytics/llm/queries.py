@@ -286,6 +286,74 @@ FROM parts d JOIN items i ON d.part = i.part
 WHERE d.doc_id IS NOT NULL
 GROUP BY d.doc_id, i.item_id HAVING sum(i.weight) / any_value(i.whole) >= 0.8 - 1e-9"""
 
+# CRC-32 of the digits of an id, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295 :: BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+  lambda c, byte: list_reduce(list_prepend(xor(c, byte), list_transform(range(8), lambda i: i :: BIGINT)),
+    lambda v, i: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 :: BIGINT ELSE 0 END))))"""
+
+# Prefixes spelt out, and every node joined to all above it.
+_TRIE = rf"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                            left(coalesce(text, ''), 32), md5(coalesce(text, ''))) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, max(place) + 1 AS length, {_CRC32} % 4 AS h, conv_id - conv_id % 20 AS family FROM turns GROUP BY conv_id),
+plans AS (
+  SELECT c.conv_id, c.family, c.h, c.length, least(c.h, coalesce(f.length, 0)) AS taken
+  FROM convs c LEFT JOIN convs f ON f.conv_id = c.family),
+rebuilt AS (
+  SELECT p.conv_id, t.place + 1 AS depth, role, text FROM plans p JOIN turns t ON t.conv_id = p.family AND t.place < p.h
+  UNION ALL
+  SELECT p.conv_id, t.place - p.h + p.taken + 1, role, text FROM plans p JOIN turns t ON t.conv_id = p.conv_id AND t.place >= p.h),
+paths AS (
+  SELECT conv_id, depth, string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS node,
+         len(regexp_extract_all(text, '[^ 	-]+')) AS words
+  FROM rebuilt
+  UNION ALL SELECT conv_id, 0, '', 0 FROM plans),
+lengths AS (SELECT conv_id, max(depth) AS length FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT depth, node, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = length), '')) AS ends_sha256
+  FROM paths JOIN lengths USING (conv_id) GROUP BY depth, node),
+children AS (SELECT node[: -65] AS above, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY above),
+counted AS (SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.above = n.node),
+sums AS (
+  SELECT p.node, count(*) FILTER (n.n_children = 0) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved
+  FROM counted n JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY p.node)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, CAST(n.n_children AS BIGINT) AS n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM counted n JOIN sums s ON s.node = n.node LEFT JOIN nodes p ON n.depth > 0 AND p.node = n.node[: -65]"""
+
+
+def _spans_sql(place: int, rule: blob_ledger.Rule) -> str:
+    """Spans of one rule: gaps and matches in turn, whose lengths add up."""
+    # The engine's (?i) folds letters beyond ASCII too.
+    pattern = rule.pattern.replace("(?i:password|passwd|secret|token|api_?key)", "_KEYWORD_").replace("(?:", "(").replace("'", "''")
+    keywords = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word) for word in "password passwd secret token api_?key".split())
+    whole = f"(?s)(.*?)({pattern.replace('_KEYWORD_', keywords)})"
+    counted = f"regexp_extract_all(text, '{whole}', {rule.group + 2})"
+    return f"""
+  SELECT doc_id, row, {place} AS place, '{rule.kind}' AS kind, unnest(gaps) AS gap, unnest(matches) AS match, unnest(counted) AS counted,
+         generate_subscripts(gaps, 1) AS nth
+  FROM (SELECT doc_id, row, regexp_extract_all(text, '{whole}', 1) AS gaps, regexp_extract_all(text, '{whole}', 2) AS matches,
+               {counted} AS counted FROM texts)"""
+
+
+_SECRETS = f"""
+WITH texts AS (SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS text FROM documents),
+parts AS ({" UNION ALL ".join(_spans_sql(place, rule) for place, rule in enumerate(blob_ledger.RULES, 1))}),
+ended AS (
+  SELECT *, sum(length(gap) + length(match)) OVER (PARTITION BY row, place ORDER BY nth) AS finish FROM parts),
+spans AS (
+  SELECT row, place, kind, finish - length(match) AS start, concat_ws(':', kind, CAST(finish - length(match) AS BIGINT), CAST(finish AS BIGINT)) AS span
+  FROM ended WHERE length(counted) >= CASE place {" ".join(f"WHEN {k} THEN {rule.least}" for k, rule in enumerate(blob_ledger.RULES, 1))} END)
+SELECT any_value(t.doc_id) AS doc_id,
+       {", ".join(f"count(*) FILTER (place = {k}) AS n_{rule.kind}" for k, rule in enumerate(blob_ledger.BASE, 1))},
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, place) FILTER (place <= {len(blob_ledger.BASE)}), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY start, place), '') AS spans
+FROM texts t LEFT JOIN spans s ON s.row = t.row GROUP BY t.row"""
+
 ORACLES = {
     "op1_source_mix": _MIX,
     "op4_license_notices": _LICENSES,
@@ -293,4 +361,6 @@ ORACLES = {
     "op7_shingle_jaccard_join": _NEAR,
     "op9_capture_index": _CAPTURES,
     "op10_benchmark_leaks": _LEAKS,
+    "op11_prefix_trie": _TRIE,
+    "op12_blob_ledger": _SECRETS,
 }

@@ -21,5 +21,5 @@ def test_query_equals_sql(spark, con, name):
 
 def test_every_operator_has_its_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES if name.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.ORACLES) <= set(queries.QUERIES)
