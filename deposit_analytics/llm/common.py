@@ -32,6 +32,22 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """Names a row by its doc_id, NULL included, and its text, in 64 bits; a NULL text counts as empty."""
+    return F.xxhash64(doc_id.cast("long"), F.coalesce(text.cast("string"), F.lit("")))
+
+
+def without_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose key is not among ``rows`` (row).
+
+    Rows that share only doc_id or only text are told apart. All columns stay as
+    they are.
+    """
+    key = row_key(F.col("doc_id"), F.col("text"))
+    marked = docs.select(F.struct("*").alias("doc"), key.alias("row"))
+    return marked.join(rows.select("row").distinct(), "row", "left_anti").select("doc.*")
+
+
 def hashed_key(text: Column) -> Column:
     """The first 60 bits of the MD5 of a text, as a non-negative number."""
     digits = F.substring(F.md5(text), 1, KEY_BITS // 4)

@@ -37,7 +37,7 @@ class Groups:
 def near_groups(rows, threshold=0.8):
     """(doc_id, links, class) per row, by comparing all sets."""
     sets = [frozenset(shingles(words(text))) for _, text in rows]
-    usable = [k for k, (doc_id, _) in enumerate(rows) if sets[k] and doc_id is not None]
+    usable = [k for k in range(len(rows)) if sets[k]]
     groups, links = Groups(range(len(rows))), Counter()
     for at, a in enumerate(usable):
         for b in usable[at + 1 :]:
@@ -49,7 +49,8 @@ def near_groups(rows, threshold=0.8):
     least = {}
     for k in usable:
         root = groups.find(k)
-        least[root] = min(least.get(root, rows[k][0]), rows[k][0])
+        ids = [one for one in (least.get(root), rows[k][0]) if one is not None]
+        least[root] = min(ids, default=None)
     known = set(usable)
     return [(rows[k][0], links[k], least[groups.find(k)] if k in known else rows[k][0]) for k in range(len(rows))]
 
