@@ -1,13 +1,17 @@
 """Finds benchmark items inside documents.
 
-Texts become five-word shingle hashes. Every document is covered by windows of
-as many shingles as the items have, in size classes that double, and each
-window gets a 64-bit SimHash: bit by bit the majority of its shingles' hashes.
-An item is described by the windows of its class at every offset, so wherever a
-copy begins in a document, the document's grid holds a window that lies on one
-of the item's. It is also described by single shingles, its heaviest, as many as
-weigh more than a document with enough of the item may lack: every such document
-holds one of them, however edits and insertions have cut the item up.
+Texts become five-word shingle hashes. Documents are covered by windows of as many
+shingles as the items have, in size classes that double, and each window gets a
+64-bit SimHash: bit by bit the majority of its shingles' hashes. An item is
+described by the windows of its class at every offset, so wherever a copy begins in
+a document, the document's grid holds a window that lies on one of the item's. It
+is also described by the windows of a small class, at every place of the document:
+of an item cut up by edits and insertions, some run stays whole that is at least
+as long. How long is counted from the weight that a match may lack and from the
+shingles that a cut costs.
+
+A document that holds no shingle of any item can't match, whatever its
+fingerprints; windows are made for the others only.
 
 Counting 64 majorities for every window is done on whole words of bits: the
 counters of all 64 bits are kept as planes (all lowest bits in one number, all
@@ -17,16 +21,18 @@ and XOR. Large windows are sums of smaller ones.
 Fingerprints are cut into four blocks of 16 bits. The index holds every item
 block with every single bit flipped, so two fingerprints that differ in at most
 seven bits agree with it in some block: no pair within that radius is lost.
-Single shingles are looked up whole. Candidates are then checked exactly, on the weights of the item's shingles that
+Candidates are then checked exactly, on the weights of the item's shingles that
 the whole document holds.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from deposit_analytics.llm.common import SPACES, stored
+from deposit_analytics.llm.common import SPACES, row_key, stored, without_rows
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -35,8 +41,8 @@ BLOCKS = 4
 BLOCK_BITS = 16
 CLASSES = (1, 4, 8, 16, 32, 64)
 SMALLEST = 8
-SINGLE = 0
 SEGMENT = 4096
+# Rows of some numbers each: tens of megabytes at most.
 BROADCAST_ROWS = 2_000_000
 
 # The ASCII space characters that separate words.
@@ -44,8 +50,8 @@ _TRIMMED = " \t\n\x0b\f\r"
 
 
 def stride(size: int) -> int:
-    """Shingles between the windows of a class; those of the smallest classes lie closer."""
-    return max(1, size // 4) if size <= SMALLEST else size // 2
+    """Shingles between the windows of a class; those of the smallest classes lie at every place."""
+    return 1 if size <= SMALLEST else size // 2
 
 
 def item_class(shingles: Column) -> Column:
@@ -181,10 +187,10 @@ def items_of(benchmark: DataFrame) -> DataFrame:
 
 
 def _index(items: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
-    """key, item, offset, item_print: the blocks of all windows of the items in their class."""
+    """key, item, offset, item_print: the blocks of all windows of the items in their classes."""
     every = _windows(items, sizes, dict.fromkeys(sizes, 1))
-    prints = every.select("item", "class", F.explode_outer("windows").alias("window")).where(
-        F.col("window.size") == F.col("class")
+    prints = every.select("item", "class", "small", F.explode_outer("windows").alias("window")).where(
+        F.col("window.size").isin(F.col("class"), F.col("small"))
     )
     keys = F.concat(*[_flipped(block) for block in range(BLOCKS)])
     return prints.select(
@@ -195,63 +201,77 @@ def _index(items: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
     )
 
 
-def _telling(items: DataFrame, weights: DataFrame, threshold: float) -> DataFrame:
-    """The same for single shingles of the items, the heaviest, that weigh more than a match may lack."""
+def _small_classes(weights: DataFrame, threshold: float) -> DataFrame:
+    """item, small: the largest of the small classes of which every match of the item holds a whole window.
+
+    A match lacks at most the lightest shingles, and a cut between words costs
+    all shingles but one of those across it; the longest of the runs that stay is
+    no shorter than their mean.
+    """
     order = Window.partitionBy("item").orderBy(F.desc("weight"), "shingle")
-    heavier = F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    chosen = weights.withColumn("heavier", F.coalesce(heavier, F.lit(0.0))).where(
-        F.col("heavier") <= (1 - threshold + 1e-6) * F.col("whole")
-    )
-    offset = (F.array_position("shingles", F.col("shingle")) - 1).cast("int")
-    return chosen.join(items.select("item", "shingles"), "item").select(
-        F.col("shingle").alias("key"), "item", offset.alias("offset"), F.col("shingle").alias("item_print")
-    )
+    heavier = F.coalesce(F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    needed = weights.withColumn("needed", (heavier < (threshold - 1e-6) * F.col("whole")).cast("int"))
+    runs = needed.groupBy("item").agg(F.sum("needed").alias("held"), F.count("*").alias("n"))
+    run = longest_run(F.col("held"), F.col("n") - F.col("held"))
+    fits = [F.when(run >= size, F.lit(size)) for size in CLASSES if size <= SMALLEST]
+    return runs.select("item", F.greatest(*fits, F.lit(None).cast("int")).alias("small"))
 
 
-def _candidates(docs: DataFrame, items: DataFrame, sizes: tuple[int, ...], telling: DataFrame) -> DataFrame:
-    """Distinct (doc_id, item, at): the item's shingle 0 would lie on the document's shingle ``at``."""
-    overlap = max(sizes) + max(stride(size) for size in sizes) + WIDTH
-    step = SEGMENT - SEGMENT % max(stride(size) for size in sizes)
-    hashed = docs.select("doc_id", word_hashes(F.col("text")).alias("hashed"))
-    starts = F.sequence(F.lit(0), F.greatest(F.size("hashed") - 1, F.lit(0)), F.lit(step))
+def longest_run(held: Column, lacking: Column) -> Column:
+    """The least length of the longest run of shingles if ``lacking`` are gone by cuts between words."""
+    return F.ceil(held / (F.floor(lacking / (WIDTH - 1)) + 1))
+
+
+def holding(docs: DataFrame, known: DataFrame, words: Callable[[Column], Column] = word_hashes) -> DataFrame:
+    """row, doc_id, shingles of the rows of ``docs`` (row, doc_id, text) that hold one of the shingles ``known``."""
+    known = stored(known.select("shingle").distinct(), "known")
+    known = F.broadcast(known) if known.count() <= BROADCAST_ROWS else known
+    hashed = docs.select("row", words(F.col("text")).alias("words"))
+    single = hashed.select("row", F.explode_outer(shingle_hashes("words")).alias("shingle"))
+    some = stored(single.join(known, "shingle", "left_semi").select("row").distinct(), "holding")
+    hashed = docs.join(some, "row", "left_semi").select("row", "doc_id", words(F.col("text")).alias("words"))
+    return stored(hashed.select("row", "doc_id", shingle_hashes("words").alias("shingles")).dropDuplicates(["row"]), "shingled")
+
+
+def segmented(shingled: DataFrame, step: int, overlap: int) -> DataFrame:
+    """row, from, shingles: the same in pieces of ``step`` and ``overlap`` more, so that long texts are many rows."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size("shingles") - 1, F.lit(0)), F.lit(step))
     parts = F.transform(
         starts,
         lambda start: F.struct(
-            start.alias("from"), F.slice(F.col("hashed"), start + 1, F.lit(step + overlap)).alias("words")
+            start.alias("from"), F.slice(F.col("shingles"), start + 1, F.lit(step + overlap)).alias("shingles")
         ),
     )
     # Outer: for an inner explode the optimizer adds a filter on the size of the
     # array, and computes the whole array once more for it.
-    segments = hashed.select("doc_id", F.explode_outer(parts).alias("part")).select(
-        "doc_id", "part.from", F.col("part.words").alias("words")
-    )
-    shingled = segments.withColumn("shingles", shingle_hashes("words")).select("doc_id", "from", "shingles")
-    covered = _windows(shingled, sizes, {size: stride(size) for size in sizes})
-    singles = F.transform(
-        "shingles", lambda one, i: F.struct(F.lit(SINGLE).alias("size"), i.alias("start"), one.alias("print"))
-    )
-    windows = covered.select("doc_id", "from", F.explode_outer(F.concat("windows", singles)).alias("window"))
-    single = F.col("window.size") == SINGLE
+    return shingled.select("row", F.explode_outer(parts).alias("part")).select("row", "part.from", "part.shingles")
+
+
+def _candidates(shingled: DataFrame, items: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
+    """Distinct (row, item, at): the item's shingle 0 would lie on the document's shingle ``at``."""
+    overlap = max(sizes) + max(stride(size) for size in sizes)
+    step = SEGMENT - SEGMENT % max(stride(size) for size in sizes)
+    segments = segmented(shingled, step, overlap)
+    covered = _windows(segments, sizes, {size: stride(size) for size in sizes})
+    windows = covered.select("row", "from", F.explode_outer("windows").alias("window"))
     keys = {
-        f"key{block}": F.when(single, F.lit(None) if block else F.col("window.print")).otherwise(
-            _block_key(F.col("window.size"), block, _block_value(F.col("window.print"), block))
-        )
+        f"key{block}": _block_key(F.col("window.size"), block, _block_value(F.col("window.print"), block))
         for block in range(BLOCKS)
     }
     place = (F.col("from") + F.col("window.start")).alias("start")
     prints = windows.select(
-        "doc_id", place, F.col("window.print").alias("print"), *[key.alias(name) for name, key in keys.items()]
+        "row", place, F.col("window.print").alias("print"), *[key.alias(name) for name, key in keys.items()]
     )
     # Unpivot stays inside generated code, up to the look-up in the index.
-    probes = prints.unpivot(["doc_id", "start", "print"], list(keys), "block", "key")
-    index = stored(_index(items, sizes).unionByName(telling), "index")
+    probes = prints.unpivot(["row", "start", "print"], list(keys), "block", "key")
+    index = stored(_index(items, sizes), "index")
     # The index grows with the benchmark alone; a large one is joined by shuffling.
     known = F.broadcast(index) if index.count() <= BROADCAST_ROWS else index
     near = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS
     return (
         probes.join(known, "key")
         .where(near)
-        .select("doc_id", "item", (F.col("start") - F.col("offset")).alias("at"))
+        .select("row", "item", (F.col("start") - F.col("offset")).alias("at"))
         .distinct()
     )
 
@@ -268,83 +288,92 @@ def _weights(items: DataFrame) -> DataFrame:
 
 
 def _places(found: DataFrame, scored: DataFrame, shingled: DataFrame, items: DataFrame, weights: DataFrame) -> DataFrame:
-    """doc_id, item, at: where most of the item's weight lies within its length, the first of equals."""
+    """row, item, at: where most of the item's weight lies within its length, the first of equals."""
     parts = weights.groupBy("item").agg(F.collect_list(F.struct("shingle", "weight")).alias("parts"))
     long = items.select("item", F.size("shingles").alias("long"))
     pad = F.floor(F.col("long") / 4).cast("int") + 8
     first = F.greatest(F.col("at") - pad, F.lit(0))
     last = F.col("at") + F.col("long") + pad
-    span = F.slice("doc_shingles", first + 1, F.greatest(last - first, F.lit(0)))
+    span = F.slice("shingles", first + 1, F.greatest(last - first, F.lit(0)))
     near = F.aggregate(
         "parts",
         F.lit(0.0),
         lambda total, part: total + F.when(F.array_contains(F.col("span"), part["shingle"]), part["weight"]).otherwise(0.0),
     )
     spans = (
-        found.join(scored.select("doc_id", "item"), ["doc_id", "item"])
-        .join(shingled, "doc_id")
+        found.join(scored.select("row", "item"), ["row", "item"])
+        .join(shingled.select("row", "shingles"), "row")
         .join(long, "item")
         .join(parts, "item")
-        .select("doc_id", "item", "at", "parts", span.alias("span"))
-        .select("doc_id", "item", "at", near.alias("near"))
+        .select("row", "item", "at", "parts", span.alias("span"))
+        .select("row", "item", "at", near.alias("near"))
     )
-    return spans.groupBy("doc_id", "item").agg(F.min_by("at", F.struct(-F.col("near"), F.col("at"))).alias("at"))
+    return spans.groupBy("row", "item").agg(F.min_by("at", F.struct(-F.col("near"), F.col("at"))).alias("at"))
 
 
-def contained_items(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
-    """Returns doc_id, item_id, similarity, at for every item found in a document.
-
-    The similarity is the share of the weight of the item's distinct shingles
-    that occurs anywhere in the document, so parts that lie apart add up. It is
-    at least ``threshold``. ``at`` is the place, as the number of the word there,
-    around which most of that weight lies (with a quarter of the item's length
-    and eight shingles to either side), the first of equals. Words are runs of non-space
-    characters. A text of one to four words has one shingle and matches only its
-    like; texts without words or NULL, and rows without doc_id, match nothing.
-    Rows that repeat a doc_id or an item are reported once. Empty tables give
-    no rows. Other columns are ignored.
-    """
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
-    items = stored(items_of(benchmark.select("item_id", F.col("text").cast("string").alias("text"))), "items")
-    sizes = tuple(sorted(row[0] for row in items.select("class").distinct().collect()))
-    if not sizes:
-        sizes = CLASSES[:1]
+def _matches(docs: DataFrame, benchmark: DataFrame, threshold: float) -> DataFrame:
+    """row, doc_id, item_id, similarity, at for every row (its key) and every item found in it."""
+    text = F.col("text").cast("string").alias("text")
+    docs = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), "doc_id", text)
+    items = stored(items_of(benchmark.select("item_id", text)), "items")
     weights = stored(_weights(items), "weights")
-    found = stored(_candidates(docs, items, sizes, _telling(items, weights, threshold)), "found")
+    items = stored(items.join(_small_classes(weights, threshold), "item"), "classed_items")
+    sizes = {size for row in items.select("class", "small").distinct().collect() for size in row}
+    shingled = holding(docs, weights)
+    found = stored(_candidates(shingled, items, tuple(sorted(sizes or {CLASSES[0]}))), "found")
     few = weights.count() <= BROADCAST_ROWS
 
     def small(frame: DataFrame) -> DataFrame:
         return F.broadcast(frame) if few else frame
 
-    texts = docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi")
-    # Rows that repeat a doc_id with another text are judged on their own.
-    hashed = texts.select("doc_id", F.xxhash64("text").alias("row"), word_hashes(F.col("text")).alias("words"))
-    shingled = hashed.select("doc_id", "row", shingle_hashes("words").alias("doc_shingles"))
     held = (
-        found.select("doc_id", "item")
+        found.select("row", "item")
         .distinct()
-        .join(shingled, "doc_id")
+        .join(shingled.select("row", F.col("shingles").alias("own")), "row")
         .join(small(items.select("item", "shingles")), "item")
-        .select("doc_id", "row", "item", F.explode_outer(F.array_intersect("shingles", "doc_shingles")).alias("shingle"))
-        .distinct()
+        .select("row", "item", F.explode_outer(F.array_intersect("shingles", "own")).alias("shingle"))
     )
     scored = (
         held.join(small(weights), ["item", "shingle"])
-        .groupBy("doc_id", "row", "item")
+        .groupBy("row", "item")
         .agg((F.sum("weight") / F.first("whole")).alias("similarity"))
-        .groupBy("doc_id", "item")
-        .agg(F.max("similarity").alias("similarity"))
         .where(F.col("similarity") >= threshold - 1e-9)
     )
-    named = scored.join(small(items.select("item", "item_id")), "item")
-    placed = named.join(_places(found, scored, shingled, items, weights), ["doc_id", "item"], "left")
+    scored = stored(scored, "scored")
+    return (
+        scored.join(small(items.select("item", "item_id")), "item")
+        .join(_places(found, scored, shingled, items, weights), ["row", "item"], "left")
+        .join(shingled.select("row", "doc_id"), "row")
+    )
+
+
+def contained_items(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
+    """Returns doc_id, item_id, similarity, at for every item found in a document.
+
+    The similarity is the share of the weight of the item's distinct shingles
+    that occurs anywhere in the document, so parts that lie apart add up. It is
+    at least ``threshold``. An item is found by one of its windows, so some run of
+    it must be whole in the document (see ``_small_classes``): documents that hold
+    its shingles in another order may be missed. ``at`` is the place, as the number
+    of the word there, around which most of that weight lies (with a quarter of the
+    item's length and eight shingles to either side), the first of equals. Words are
+    runs of non-space characters. A text of one to four words has one shingle and
+    matches only its like; texts without words or NULL match nothing, and rows
+    without doc_id are not reported. Rows that repeat a doc_id with another text are
+    judged on their own and reported once, by the larger similarity, as are
+    repeated items. Empty tables give no rows. Other columns are ignored.
+    """
+    placed = _matches(docs, benchmark, threshold).where(F.col("doc_id").isNotNull())
     return placed.groupBy("doc_id", "item_id").agg(
         F.max("similarity").alias("similarity"),
         F.greatest(F.min_by("at", F.struct(-F.col("similarity"), F.col("at"))), F.lit(0)).alias("at"),
     )
 
 
-def without_items(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents in which no item was found, with their columns as they are."""
-    leaked = contained_items(docs, benchmark, **options).select("doc_id").distinct()
-    return docs.join(leaked, "doc_id", "left_anti").select(*docs.columns)
+def without_items(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows in which no item was found, with their columns as they are.
+
+    Every row is judged by its own text, whether or not it has a doc_id, and
+    whichever others share it.
+    """
+    return without_rows(docs, _matches(docs, benchmark, threshold)).select(*docs.columns)

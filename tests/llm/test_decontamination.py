@@ -104,3 +104,37 @@ def test_classes_hold_a_grid_window_wherever_a_copy_begins():
         for begin in range(3 * step):
             first = -(-begin // step) * step
             assert first + size <= begin + shortest
+
+
+def test_every_row_is_judged_by_its_own_text(spark):
+    item = " ".join(f"w{k}" for k in range(30))
+    leaked, clean = f"x {item} y", "nothing of the kind is said in this text"
+    rows = [(1, leaked), (1, clean), (None, leaked), (None, clean), (2, leaked), (2, leaked), (3, None)]
+    docs = spark.createDataFrame([(*row, "a", 1) for row in rows], "doc_id long, text string, row string, doc int")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    kept = decontamination.without_items(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, clean), (None, clean), (3, None)], key=str)
+    assert sorted((r.doc_id, r.item_id) for r in decontamination.contained_items(docs, bench).collect()) == [(1, 7), (2, 7)]
+    assert decontamination.without_items(docs.limit(0), bench).count() == 0
+    assert decontamination.without_items(docs, bench.limit(0)).count() == 7
+
+
+def test_windows_alone_reach_the_recall(spark):
+    """Items with random edits, insertions and losses, at all sizes and places: windows are the only way to be found."""
+    rng = random.Random(11)
+    items = [(k, [f"i{k}w{place}" for place in range(rng.randrange(9, 160))]) for k in range(40)]
+    rows = []
+    for k in range(400):
+        tokens = list(rng.choice(items)[1])
+        for _ in range(rng.randrange(5)):
+            place = rng.randrange(len(tokens))
+            kind = rng.randrange(3)
+            tokens[place : place + (kind > 0)] = [] if kind == 1 else [f"e{rng.randrange(10**6)}" for _ in range(rng.randrange(1, 4))]
+        fill = [f"f{rng.randrange(10**6)}" for _ in range(rng.randrange(40))]
+        rows.append((k, " ".join([*fill, *tokens, *fill[:9]])))
+    expected = want(rows, [(k, " ".join(words)) for k, words in items])
+    got = run(spark, rows, [(k, " ".join(words)) for k, words in items])
+    assert len(expected) > 150
+    assert set(got) <= set(expected)
+    assert len(got) >= 0.99 * len(expected)
