@@ -2,15 +2,16 @@
 
 Templates and documents become shingles of five words, without case and
 punctuation. Documents are covered by overlapping windows of as many shingles
-as the templates have, in size classes that double. A window is described by up
-to four minima of its shingles' hashes under different functions, and each is a
-band: two windows of Jaccard similarity J share a band with probability
-1 - (1 - J)^4, which is 0.998 at 0.8 and certain for equal windows. A template
-is indexed by its windows at every offset, so a copy meets an equal window
-wherever it begins. Templates that share a band are then checked exactly, by
-the share of their shingles that the whole document holds. So that parts of a
-template that lie apart are found too, single shingles of it are also looked up,
-as many as no document with enough of the template can lack.
+as the templates have, in size classes that double. A window is described by
+twelve minima of its shingles' hashes under different functions, and two of them
+make a band: two windows of Jaccard similarity J share one of six bands with
+probability 1 - (1 - J^2)^6, which is 0.998 at 0.8 and certain for equal windows.
+A template is indexed by its windows at every offset, so a copy meets an equal
+window wherever it begins; and by windows of a small class, at every place of the
+document, of which some lies in a part that edits and insertions left whole.
+Templates that share a band are then checked exactly, by the share of their
+shingles that the whole document holds. A document that holds no shingle of any
+template can't match; windows are made for the others only.
 
 Minima of large windows are the least of those of two halves.
 """
@@ -20,15 +21,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deposit_analytics.llm.common import stored
-from deposit_analytics.llm.decontamination import BROADCAST_ROWS, SEGMENT, WIDTH, shingle_hashes
+from deposit_analytics.llm.common import row_key, stored
+from deposit_analytics.llm.decontamination import BROADCAST_ROWS, SEGMENT, holding, longest_run, segmented, shingle_hashes
 
 THRESHOLD = 0.8
-BANDS = 4
+BANDS = 6
+ROWS = 2
+MINIMA = BANDS * ROWS
 # Shingles of a window, and shingles from one window to the next.
-CLASSES = {1: 1, 2: 2, 4: 2, 8: 4, 16: 8, 32: 16}
+CLASSES = {1: 1, 2: 1, 4: 1, 8: 1, 16: 8, 32: 16, 64: 32}
+SMALLEST = 8
 
-# Notices by which works state their license.
+# Notices by which works state their license, and the texts of short licenses.
 NOTICES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "MIT": "Released under the MIT License.",
@@ -42,6 +46,54 @@ NOTICES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "Apache-2.0-header": "you may not use this file except in compliance with the License. You may obtain a copy of the"
+    " License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing,"
+    " software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY"
+    " KIND, either express or implied.",
+    "LGPL-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU"
+    " Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or"
+    " (at your option) any later version.",
+    "AGPL-notice": "it under the terms of the GNU Affero General Public License as published by the Free Software"
+    " Foundation, either version 3 of the License, or (at your option) any later version.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public"
+    " License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0"
+    " International License.",
+    "CC0-1.0": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring"
+    " rights to this software to the public domain worldwide. This software is distributed without any warranty.",
+    "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and"
+    " associated documentation files (the Software), to deal in the Software without restriction, including without"
+    " limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the"
+    " Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+    " The above copyright notice and this permission notice shall be included in all copies or substantial portions of"
+    " the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT"
+    " LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT"
+    " SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION"
+    " OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER"
+    " DEALINGS IN THE SOFTWARE.",
+    "ISC-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is"
+    " hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE"
+    " SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL"
+    " IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,"
+    " INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER"
+    " IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR"
+    " PERFORMANCE OF THIS SOFTWARE.",
+    "BSD-2-text": "Redistribution and use in source and binary forms, with or without modification, are permitted"
+    " provided that the following conditions are met: Redistributions of source code must retain the above copyright"
+    " notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the"
+    " above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other"
+    " materials provided with the distribution.",
+    "BSD-3-endorsement": "Neither the name of the copyright holder nor the names of its contributors may be used to"
+    " endorse or promote products derived from this software without specific prior written permission.",
+    "Zlib-text": "This software is provided as-is, without any express or implied warranty. In no event will the authors"
+    " be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this"
+    " software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject"
+    " to the following restrictions",
+    "Unlicense-text": "This is free and unencumbered software released into the public domain. Anyone is free to copy,"
+    " modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled"
+    " binary, for any purpose, commercial or non-commercial, and by any means.",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
 }
 
 
@@ -64,18 +116,19 @@ def template_class(shingles: Column) -> Column:
 
 
 def bands(size: int) -> int:
-    return min(size, BANDS)
+    """Windows of one shingle are alike in one hash or not at all."""
+    return 1 if size == 1 else BANDS
 
 
 def _pairs(shingles: str, step: int) -> Column:
     """Minima of every ``step``-th shingle and the next."""
     count = F.floor((F.size(shingles) - 2) / step).cast("int")
-    zero = F.struct(*[F.lit(0).cast("long").alias(f"m{band}") for band in range(BANDS)])
+    zero = F.struct(*[F.lit(0).cast("long").alias(f"m{band}") for band in range(MINIMA)])
 
     def least(place: Column) -> Column:
         a, b = F.get(shingles, place * step), F.get(shingles, place * step + 1)
         return F.struct(
-            *[F.least(F.xxhash64(a, F.lit(band)), F.xxhash64(b, F.lit(band))).alias(f"m{band}") for band in range(BANDS)]
+            *[F.least(F.xxhash64(a, F.lit(band)), F.xxhash64(b, F.lit(band))).alias(f"m{band}") for band in range(MINIMA)]
         )
 
     return F.when(count >= 0, F.transform(F.sequence(F.lit(0), count), least)).otherwise(F.slice(F.array(zero), 1, 0))
@@ -83,7 +136,7 @@ def _pairs(shingles: str, step: int) -> Column:
 
 def _halves(left: str, right: str) -> Column:
     return F.zip_with(
-        left, right, lambda a, b: F.struct(*[F.least(a[f"m{band}"], b[f"m{band}"]).alias(f"m{band}") for band in range(BANDS)])
+        left, right, lambda a, b: F.struct(*[F.least(a[f"m{band}"], b[f"m{band}"]).alias(f"m{band}") for band in range(MINIMA)])
     )
 
 
@@ -95,7 +148,8 @@ def _described(minima: str, size: int, step: int) -> Column:
     """start and band keys of the windows of one class."""
 
     def window(one: Column, i: Column) -> Column:
-        keys = F.array(*[F.xxhash64(F.lit(size), F.lit(band), one[f"m{band}"]) for band in range(bands(size))])
+        rows = [[one[f"m{ROWS * band + row}"] for row in range(ROWS)] for band in range(BANDS)]
+        keys = F.array(*[F.xxhash64(F.lit(size), F.lit(band), *minima) for band, minima in enumerate(rows)])
         return F.struct(F.lit(size).alias("size"), (i * step).alias("start"), keys.alias("keys"))
 
     return F.transform(minima, window)
@@ -138,8 +192,8 @@ def _windows(frame: DataFrame, steps: dict[int, int]) -> DataFrame:
 def _index(known: DataFrame, sizes: list[int]) -> DataFrame:
     """key, template, offset of every band of every window of the templates."""
     every = _windows(known, dict.fromkeys(sizes, 1))
-    windows = every.select("template", "class", F.explode_outer("windows").alias("window"))
-    windows = windows.where(F.col("window.size") == F.col("class"))
+    windows = every.select("template", "class", "small", F.explode_outer("windows").alias("window"))
+    windows = windows.where(F.col("window.size").isin(F.col("class"), F.col("small")))
     return windows.select(
         "template", F.col("window.start").alias("offset"), F.explode_outer("window.keys").alias("key")
     ).distinct()
@@ -150,19 +204,13 @@ def _held(shingles: str) -> Column:
     return F.size(F.array_intersect("parts", shingles))
 
 
-def _telling(known: DataFrame, threshold: float) -> DataFrame:
-    """key, template, offset of single shingles, of which every text with enough of the template holds one.
-
-    A text that holds ``threshold`` of the distinct shingles lacks at most the
-    rest, so one more than the rest cannot all be lacking, wherever they lie.
-    """
-    distinct = F.array_sort(F.array_distinct("shingles"))
-    lacking = F.floor((1 - threshold) * F.size(distinct) + 1e-6).cast("int")
-    chosen = known.select("template", "shingles", F.explode(F.slice(distinct, F.lit(1), lacking + 1)).alias("shingle"))
-    offset = (F.array_position("shingles", F.col("shingle")) - 1).cast("int")
-    return chosen.select(
-        "template", offset.alias("offset"), F.xxhash64(F.lit(1), F.lit(0), F.col("shingle")).alias("key")
-    )
+def _small_class(threshold: float) -> Column:
+    """The largest of the small classes of which every match of the template holds a whole window."""
+    distinct = F.size(F.array_distinct("shingles"))
+    lacking = F.floor((1 - threshold) * distinct + 1e-6)
+    run = longest_run(distinct - lacking, lacking)
+    fits = [F.when(run >= size, F.lit(size)) for size in CLASSES if size <= SMALLEST]
+    return F.greatest(*fits).cast("int")
 
 
 def find_licenses(docs: DataFrame, notices: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
@@ -170,84 +218,71 @@ def find_licenses(docs: DataFrame, notices: DataFrame, *, threshold: float = THR
 
     ``notices`` has license_id and text. The containment is the share of the
     notice's distinct shingles that occur anywhere in the document, so parts
-    that lie apart add up; it is at least ``threshold``. ``at`` is the place, as
+    that lie apart add up; it is at least ``threshold``. A notice is found by one of
+    its windows, so some run of it must be whole in the document. ``at`` is the place, as
     the number of the word there, around which most of them lie (within a quarter
     of the notice's length and eight shingles to either side), the first of
     equals. Notices of fewer than five words match only texts that
     are nothing else. Notices and texts without words or NULL, and rows without
-    doc_id, match nothing. Rows that repeat a doc_id or a notice are reported
-    once. Empty tables give no rows. Other columns are ignored.
+    doc_id, match nothing. Rows that repeat a doc_id with another text are judged on
+    their own and reported once, as are repeated notices. Empty tables give no rows. Other columns are ignored.
     """
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
+    text = F.col("text").cast("string")
+    docs = docs.where(F.col("doc_id").isNotNull()).select(
+        row_key(F.col("doc_id"), F.col("text")).alias("row"), "doc_id", text.alias("text")
+    )
     known = notices.select(
-        "license_id", F.xxhash64("license_id", "text").alias("template"), word_hashes(F.col("text").cast("string")).alias("words")
+        "license_id", F.xxhash64("license_id", "text").alias("template"), word_hashes(text).alias("words")
     ).dropDuplicates(["template"])
-    known = known.select("license_id", "template", shingle_hashes("words").alias("shingles"))
-    known = known.where(F.size("shingles") > 0).withColumn("class", template_class(F.size("shingles")))
+    known = known.select("license_id", "template", shingle_hashes("words").alias("shingles")).where(F.size("shingles") > 0)
+    known = known.withColumns({"class": template_class(F.size("shingles")), "small": _small_class(threshold)})
     known = stored(known, "templates")
-    sizes = sorted(row[0] for row in known.select("class").distinct().collect()) or [1]
-    index = stored(_index(known, sizes).unionByName(_telling(known, threshold)).distinct(), "template_index")
-    sizes = sorted({1, *sizes})
+    sizes = sorted({size for row in known.select("class", "small").distinct().collect() for size in row}) or [1]
+    index = stored(_index(known, sizes), "template_index")
     small = index.count() <= BROADCAST_ROWS
-    overlap = 2 * max(sizes) + WIDTH
+    shingled = holding(docs, known.select(F.explode("shingles").alias("shingle")), word_hashes)
     step = SEGMENT - SEGMENT % max(CLASSES.values())
-    hashed = docs.select("doc_id", word_hashes(F.col("text")).alias("hashed"))
-    starts = F.sequence(F.lit(0), F.greatest(F.size("hashed") - 1, F.lit(0)), F.lit(step))
-    parts = F.transform(
-        starts,
-        lambda start: F.struct(start.alias("from"), F.slice(F.col("hashed"), start + 1, F.lit(step + overlap)).alias("words")),
-    )
-    # Outer: an inner explode would compute its array once more for a filter.
-    segments = hashed.select("doc_id", F.explode_outer(parts).alias("part")).select(
-        "doc_id", "part.from", F.col("part.words").alias("words")
-    )
-    shingled = segments.select("doc_id", "from", shingle_hashes("words").alias("shingles"))
-    windows = _windows(shingled, {size: CLASSES[size] for size in sizes}).select(
-        "doc_id", "from", F.explode_outer("windows").alias("window")
+    windows = _windows(segmented(shingled, step, 2 * max(sizes)), {size: CLASSES[size] for size in sizes}).select(
+        "row", "from", F.explode_outer("windows").alias("window")
     )
     most = max(bands(size) for size in sizes)
     names = [f"key{band}" for band in range(most)]
     spread = windows.select(
-        "doc_id",
+        "row",
         (F.col("from") + F.col("window.start")).alias("start"),
         *[F.get("window.keys", F.lit(band)).alias(name) for band, name in enumerate(names)],
     )
-    probes = spread.unpivot(["doc_id", "start"], names, "band", "key")
+    probes = spread.unpivot(["row", "start"], names, "band", "key")
     found = stored(
         probes.join(F.broadcast(index) if small else index, "key")
-        .select("doc_id", "template", (F.col("start") - F.col("offset")).alias("at"))
+        .select("row", "template", (F.col("start") - F.col("offset")).alias("at"))
         .distinct(),
         "notices",
     )
     whole = known.select("template", "license_id", F.array_distinct("shingles").alias("parts"), F.size("shingles").alias("long"))
     whole = F.broadcast(whole) if small else whole
-    texts = docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi")
-    held = texts.select("doc_id", word_hashes(F.col("text")).alias("words")).select(
-        "doc_id", shingle_hashes("words").alias("shingles")
-    )
     scored = (
-        found.select("doc_id", "template")
+        found.select("row", "template")
         .distinct()
-        .join(held, "doc_id")
+        .join(shingled, "row")
         .join(whole, "template")
-        .select("doc_id", "template", "license_id", (_held("shingles") / F.size("parts")).alias("containment"))
+        .select("row", "doc_id", "template", "license_id", (_held("shingles") / F.size("parts")).alias("containment"))
         .where(F.col("containment") >= threshold - 1e-9)
-        .groupBy("doc_id", "template", "license_id")
-        .agg(F.max("containment").alias("containment"))
     )
+    scored = stored(scored, "scored")
     pad = F.floor(F.col("long") / 4).cast("int") + 8
     first = F.greatest(F.col("at") - pad, F.lit(0))
     span = F.slice("shingles", first + 1, F.greatest(F.col("at") + F.col("long") + pad - first, F.lit(0)))
     spans = (
-        found.join(scored.select("doc_id", "template"), ["doc_id", "template"])
-        .join(held, "doc_id")
+        found.join(scored.select("row", "template"), ["row", "template"])
+        .join(shingled.select("row", "shingles"), "row")
         .join(whole, "template")
-        .select("doc_id", "template", "at", "parts", span.alias("span"))
-        .select("doc_id", "template", "at", _held("span").alias("near"))
+        .select("row", "template", "at", "parts", span.alias("span"))
+        .select("row", "template", "at", _held("span").alias("near"))
     )
-    places = spans.groupBy("doc_id", "template").agg(F.min_by("at", F.struct(-F.col("near"), F.col("at"))).alias("at"))
+    places = spans.groupBy("row", "template").agg(F.min_by("at", F.struct(-F.col("near"), F.col("at"))).alias("at"))
     return (
-        scored.join(places, ["doc_id", "template"], "left")
+        scored.join(places, ["row", "template"], "left")
         .groupBy("doc_id", "license_id")
         .agg(
             F.max("containment").alias("containment"),

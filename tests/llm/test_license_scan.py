@@ -61,3 +61,28 @@ def test_windows_of_every_class_meet_their_template():
         for begin in range(3 * step):
             first = -(-begin // step) * step
             assert first + size <= begin + size + step - 1
+
+
+def test_bands_alone_reach_the_recall(spark):
+    """Whole licenses with random edits: bands are the only way to be found."""
+    rng = random.Random(4)
+    rows = []
+    for text in license_scan.NOTICES.values():
+        for _ in range(8):
+            tokens = text.split()
+            for _ in range(rng.randrange(1 + len(tokens) // 30)):
+                tokens[rng.randrange(len(tokens))] = rng.choice(["edit", "two words", ""])
+            fill = [f"f{rng.randrange(10**6)}" for _ in range(rng.randrange(5, 40))]
+            rows.append((len(rows), " ".join([*fill, *tokens, *fill])))
+    expected, got = want(rows, license_scan.NOTICES), run(spark, rows, license_scan.NOTICES)
+    assert len(expected) >= len(rows)
+    assert set(got) <= set(expected)
+    assert len(got) >= 0.99 * len(expected)
+
+
+def test_common_licenses_are_told_apart(spark):
+    texts = {name: f"Copyright someone. {text} The end." for name, text in license_scan.NOTICES.items()}
+    found = run(spark, list(enumerate(texts.values())), license_scan.NOTICES)
+    for k, name in enumerate(texts):
+        assert (k, name) in found
+    assert not {(list(texts).index("AGPL-notice"), "GPL-notice"), (list(texts).index("LGPL-notice"), "GPL-notice")} & set(found)
