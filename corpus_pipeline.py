@@ -14,7 +14,7 @@ from deposit_analytics.llm.common import stored, word_count
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that is certain enough."""
+    """Documents in a language that is certain enough, which becomes their ``lang``."""
     return language_id.identified(docs)
 
 
@@ -34,18 +34,19 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their shard and their slot in it."""
+    """The documents, all columns, with their shard and their slot in it; columns of those names get a new one."""
     text = F.col("text")
     shards = sharding.assign(docs, sharding.text_key(text), sharding.text_size(text))
-    return shards.select(
-        *[f"doc.{name}" for name in ("doc_id", "text", "lang", "source", "n_chars")],
-        "size",
-        F.crc32(F.coalesce("doc.text", F.lit(""))).alias("text_crc32"),
-        F.lit("bytes").alias("law"),
-        "shard",
-        "slot",
-        F.lit(None).cast("int").alias("grown_shard"),
-    )
+    added = {
+        "size": F.col("size"),
+        "text_crc32": F.crc32(F.coalesce("doc.text", F.lit(""))),
+        "law": F.lit("bytes"),
+        "shard": F.col("shard"),
+        "slot": F.col("slot"),
+        "grown_shard": F.lit(None).cast("int"),
+    }
+    own = [F.col("doc").getField(name).alias(f"doc_{name}" if name in added else name) for name in docs.columns]
+    return shards.select(*own, *[column.alias(name) for name, column in added.items()])
 
 
 STAGES = [

@@ -8,6 +8,12 @@ languages a host publishes, is counted over all records from the text evidence
 by grouped aggregation. A host's prior is smoothed towards that of its address
 suffix, and that towards the whole corpus; a record's own share is taken out of
 its host's counts first.
+
+That compares languages with one another. Whether a text is in any of them is
+judged on absolute evidence: its mean likelihood under all fitted languages
+together is held against what the labelled rows of its own language have, and a
+text far below that is in none. Under all together, since each half of a text in
+two languages is likely in its own.
 """
 
 from __future__ import annotations
@@ -22,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deposit_analytics.llm import shingles
-from deposit_analytics.llm.common import stored
+from deposit_analytics.llm.common import row_key, stored
 
 BUCKET_BITS = 16
 SAMPLE = 2000
@@ -30,10 +36,15 @@ SMOOTHING = 0.5
 STRENGTH = 20.0
 MOST_EVIDENCE = 300.0
 LEAST_CONFIDENCE = 0.4
+# How far, in natural logarithms per trigram, a text may lie below the labelled
+# rows, and how many standard errors more: short texts vary.
+MARGIN = 3.0
+ERRORS = 3.0
 
-# Lower-case letters and bytes of multi-byte characters stand for themselves,
-# everything else for a space.
+# Lower-case letters and bytes of multi-byte characters stand for themselves, a
+# nought for all digits, a space for everything else.
 _FOLDED = np.full(256, 32, np.uint32)
+_FOLDED[ord("0") : ord("9") + 1] = ord("0")
 _FOLDED[128:] = np.arange(128, 256)
 _FOLDED[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _FOLDED[ord("A") : ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -47,6 +58,13 @@ class Model:
     languages: tuple[str, ...]
     table: np.ndarray
 
+    def absolute(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log-likelihoods under all languages together; their mean and deviation over each language's trigrams."""
+        shares = np.exp(self.table.astype(np.float64))
+        every = np.log(shares.mean(axis=0))
+        mean = shares @ every
+        return every, mean, np.sqrt(np.maximum(shares @ every**2 - mean**2, 0))
+
 
 def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the trigrams with a letter, and those before each text."""
@@ -54,7 +72,8 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
     folded = _FOLDED[data]
     code = folded[:-2] | folded[1:-1] << np.uint32(8) | folded[2:] << np.uint32(16)
-    inside = code != np.uint32(0x202020)
+    letter = (folded != 32) & (folded != ord("0"))
+    inside = letter[:-2] | letter[1:-1] | letter[2:]
     ends = offsets[1:-1]
     for back in (1, 2):
         crossing = ends - back
@@ -67,7 +86,8 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def letters(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Whether each text has a letter."""
-    counts = np.concatenate([[0], np.cumsum(_FOLDED[data] != 32)])
+    folded = _FOLDED[data]
+    counts = np.concatenate([[0], np.cumsum((folded != 32) & (folded != ord("0")))])
     return np.diff(counts[offsets]) > 0
 
 
@@ -119,7 +139,9 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(names, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32))
 
 
-def _score(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    table = model.table
+    every, mean, deviation = model.absolute()
     for batch in batches:
         data, offsets = shingles.text_bytes(batch.column("text"))
         for first, last in shingles.chunks(offsets):
@@ -131,7 +153,14 @@ def _score(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> Iterator[pa.
             for k, row in enumerate(table):
                 if len(some):
                     logs[some, k] = np.add.reduceat(row[buckets], at[:-1][some], dtype=np.float64)
-            # Neighbouring trigrams share letters, and long texts repeat themselves.
+            together = np.zeros(last - first)
+            if len(some):
+                together[some] = np.add.reduceat(every[buckets], at[:-1][some])
+            best, some = logs.argmax(axis=1), np.maximum(counts, 1)
+            # Neighbouring trigrams share letters, so a third of them count.
+            below = mean[best] - together / some
+            known = (counts == 0) | (below <= MARGIN + ERRORS * deviation[best] * np.sqrt(3 / some))
+            # The same, and long texts repeat themselves.
             weight = np.minimum(counts / 3, MOST_EVIDENCE) / np.maximum(counts, 1)
             logs = (logs - logs.max(axis=1, keepdims=True)) * weight[:, None]
             shares = np.exp(logs)
@@ -145,10 +174,11 @@ def _score(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> Iterator[pa.
                     part.column("host"),
                     pa.array(counts.astype(np.int64)),
                     pa.array(letters(data[low:high], offsets[first : last + 1] - low)),
+                    pa.array(known),
                     pa.array(list(logs), pa.list_(pa.float64())),
                     pa.array(list(shares), pa.list_(pa.float64())),
                 ],
-                ["doc_id", "declared", "suffix", "host", "trigrams", "letters", "logs", "shares"],
+                ["doc_id", "declared", "suffix", "host", "trigrams", "letters", "known", "logs", "shares"],
             )
 
 
@@ -164,13 +194,16 @@ def _shares(scored: DataFrame, key: str, count: int, prefix: str) -> DataFrame:
 
 
 def identify(records: DataFrame, model: Model, least_confidence: float = LEAST_CONFIDENCE) -> DataFrame:
-    """Returns doc_id, lang, confidence, text_lang, kept for each record.
+    """Returns doc_id, lang, confidence, text_lang, kept, declared for each record.
 
     ``records`` has doc_id, text, declared, suffix and host; each may be NULL. A
     missing declaration says nothing, a missing suffix or host is a value of its
     own. ``kept`` is false when the best language's probability lies below
     ``least_confidence``, which half a text in another language does not bring
-    about, or the text has no letters. A text too short for a trigram goes by
+    about, when the text's trigrams are far less likely than those of labelled rows,
+    so that it is in no fitted language, or when it has no letters. Such texts tell
+    nothing about hosts and declarations. ``declared`` is the declared language in
+    lower case, without region. A text too short for a trigram goes by
     the other evidence. Ties go to the first language by name. With a model
     without languages, lang is NULL and all records are kept. Repeated rows are
     judged alike; an empty table gives no rows.
@@ -186,15 +219,16 @@ def identify(records: DataFrame, model: Model, least_confidence: float = LEAST_C
     if not names:
         none = F.lit(None).cast("string")
         return records.select(
-            "doc_id", none.alias("lang"), F.lit(0.0).alias("confidence"), none.alias("text_lang"), F.lit(True).alias("kept")
+            "doc_id", none.alias("lang"), F.lit(0.0).alias("confidence"), none.alias("text_lang"), F.lit(True).alias("kept"), "declared"
         )
-    table, count = model.table, len(names)
+    count = len(names)
     scored = records.mapInArrow(
-        lambda batches: _score(batches, table),
-        "doc_id long, declared string, suffix string, host string, trigrams long, letters boolean, logs array<double>, shares array<double>",
+        lambda batches: _score(batches, model),
+        "doc_id long, declared string, suffix string, host string, trigrams long, letters boolean, known boolean,"
+        " logs array<double>, shares array<double>",
     )
     scored = stored(scored, "scores")
-    shown = scored.where(F.col("trigrams") > 0)
+    shown = scored.where((F.col("trigrams") > 0) & F.col("known"))
     sums = shown.agg(*[F.sum(F.col("shares")[k]) for k in range(count)]).first()
     everything = [one or 0.0 for one in sums]
     total = sum(everything) + count
@@ -207,7 +241,7 @@ def identify(records: DataFrame, model: Model, least_confidence: float = LEAST_C
     zero = F.lit(0.0)
     of_suffix = [F.coalesce(F.col(f"s{k}"), zero) for k in range(count)]
     of_host = [F.coalesce(F.col(f"h{k}"), zero) for k in range(count)]
-    own = [F.when(F.col("trigrams") > 0, F.col("shares")[k]).otherwise(zero) for k in range(count)]
+    own = [F.when((F.col("trigrams") > 0) & F.col("known"), F.col("shares")[k]).otherwise(zero) for k in range(count)]
     in_suffix = sum(of_suffix[1:], of_suffix[0])
     others = [F.greatest(a - b, zero) for a, b in zip(of_host, own, strict=True)]
     in_host = sum(others[1:], others[0])
@@ -231,7 +265,8 @@ def identify(records: DataFrame, model: Model, least_confidence: float = LEAST_C
         _best("weights", names).alias("lang"),
         "confidence",
         F.when(F.col("trigrams") > 0, _best("shares", names)).alias("text_lang"),
-        (F.col("letters") & (F.col("confidence") >= least_confidence)).alias("kept"),
+        (F.col("letters") & F.col("known") & (F.col("confidence") >= least_confidence)).alias("kept"),
+        "declared",
     )
 
 
@@ -261,11 +296,21 @@ def page_records(pages: DataFrame) -> DataFrame:
 
 
 def identified(docs: DataFrame, **options) -> DataFrame:
-    """The documents whose language is certain enough, with their columns as they are.
+    """The rows whose language is certain enough, with that language as ``lang`` and other columns as they are.
 
-    The model is fitted on the documents' own ``lang``. Rows without doc_id stay.
+    The model is fitted on the documents' own ``lang``, which stays where it says
+    the same, if in other letters. Rows are judged by themselves, whether or not
+    they have a doc_id and whichever others share it.
     """
     model = fit(docs.select("doc_id", "text", F.lower(F.col("lang").cast("string")).alias("label")))
-    judged = identify(document_records(docs), model, **options)
-    rejected = judged.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    key = F.xxhash64(
+        row_key(F.col("doc_id"), F.col("text")), F.coalesce(F.col("lang").cast("string"), F.lit("")), F.coalesce(F.col("source").cast("string"), F.lit(""))
+    )
+    records = document_records(docs.withColumn("doc_id", key))
+    judged = identify(records, model, **options)
+    # Most rows stay as they are, and only the others have to meet their documents.
+    changed = judged.where(~F.col("kept") | ~F.col("lang").eqNullSafe(F.col("declared")))
+    changed = stored(changed.select(F.col("doc_id").alias("row"), F.col("lang").alias("found"), "kept").dropDuplicates(["row"]), "judged")
+    marked = docs.select(F.struct("*").alias("doc"), key.alias("row")).join(changed, "row", "left")
+    lang = F.coalesce("found", F.col("doc.lang").cast("string")).alias("lang")
+    return marked.where(F.coalesce("kept", F.lit(True))).select(*[lang if name == "lang" else f"doc.{name}" for name in docs.columns])

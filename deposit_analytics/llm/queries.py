@@ -53,12 +53,12 @@ def _model(spark: SparkSession, sf_dir: str) -> language_id.Model:
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = language_id.document_records(_table(spark, sf_dir, "documents"))
-    return language_id.identify(records, _model(spark, sf_dir))
+    return language_id.identify(records, _model(spark, sf_dir)).drop("declared")
 
 
 def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = language_id.page_records(_table(spark, sf_dir, "pages"))
-    return language_id.identify(records, _model(spark, sf_dir)).withColumnRenamed("doc_id", "page_id")
+    return language_id.identify(records, _model(spark, sf_dir)).drop("declared").withColumnRenamed("doc_id", "page_id")
 
 
 def op4_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,7 +308,8 @@ rebuilt AS (
   SELECT p.conv_id, t.place - p.h + p.taken + 1, role, text FROM plans p JOIN turns t ON t.conv_id = p.conv_id AND t.place >= p.h),
 paths AS (
   SELECT conv_id, depth, string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS node,
-         len(regexp_extract_all(text, '[^ 	-]+')) AS words
+         len(regexp_extract_all(text, '[^ 	-
+]+')) AS words
   FROM rebuilt
   UNION ALL SELECT conv_id, 0, '', 0 FROM plans),
 lengths AS (SELECT conv_id, max(depth) AS length FROM paths GROUP BY conv_id),

@@ -3,6 +3,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
@@ -57,3 +58,33 @@ def test_stages_return_the_columns_of_documents(spark, results):
     names = spark.read.parquet(f"{SF}/documents.parquet").columns
     for rows in results[1:5]:
         assert rows[0].__fields__ == names
+
+
+def test_odd_rows_and_clashing_columns_pass_every_stage(spark):
+    """Ids repeated and missing, texts repeated, empty and very long, columns that the stages use themselves."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("text is not null").first().text
+    first, second, third = (r.text for r in docs.where("length(text) between 400 and 900 and lang = 'en'").orderBy("doc_id").limit(3).collect())
+    rows = [(1, first), (1, second), (2, second), (None, third), (None, third), (1, f"{first} {item}"), (None, f"{second} {item}"),
+            (3, None), (4, ""), (5, f"{third} word " * 3000), (6, "12 34")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row long, doc string, shard string, size int, slot string, found int"
+    frame = spark.createDataFrame([(*row, "en", "s", 1, 2, "d", "h", 3, "l", 4) for row in rows], schema)
+    others = docs
+    for name in ("row", "doc", "shard", "size", "slot", "found"):
+        others = others.withColumn(name, F.lit(None).cast(frame.schema[name].dataType))
+    kept = others.unionByName(frame)
+    for name, stage in corpus_pipeline.STAGES:
+        kept = stored(stage(spark, kept, SF), name)
+        if name != "sharding":
+            assert kept.columns == frame.columns
+    found = [r for r in kept.collect() if r.row == 2]
+    assert {(r.doc_id, r.text) for r in found} <= {(1, first), (1, second), (None, third), (5, rows[9][1])}
+    assert {r.n_chars for r in found} == {1}
+    assert {r.doc_shard for r in found} == {"h"}
+
+
+def test_an_empty_table_passes_every_stage(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, SF), name)
+        assert docs.count() == 0
