@@ -233,9 +233,10 @@ def identify(records: DataFrame, model: Model, least_confidence: float = LEAST_C
     everything = [one or 0.0 for one in sums]
     total = sum(everything) + count
     prior = [(one + 1) / total for one in everything]
-    parents = _shares(shown, "suffix", count, "s")
-    hosts = _shares(shown, "host", count, "h")
-    claims = _shares(shown.where(F.col("declared").isNotNull()), "declared", count, "d")
+    # Stored, so that their size is known before the join and small ones move, not the records.
+    parents = stored(_shares(shown, "suffix", count, "s"), "suffixes")
+    hosts = stored(_shares(shown, "host", count, "h"), "hosts")
+    claims = stored(_shares(shown.where(F.col("declared").isNotNull()), "declared", count, "d"), "claims")
     claimed = [row or 0.0 for row in claims.agg(*[F.sum(f"d{k}") for k in range(count)]).first()]
     fused = scored.join(parents, "suffix", "left").join(hosts, "host", "left").join(claims, "declared", "left")
     zero = F.lit(0.0)
