@@ -50,7 +50,11 @@ def components(edges: DataFrame) -> DataFrame:
 def local_stars(links: np.ndarray, left: np.ndarray, right: np.ndarray, ids: np.ndarray) -> tuple[list, list]:
     """(node, least node) of the connected groups that a block's links make."""
     i, j = np.nonzero(links)
-    a, b = left[i], right[j]
+    return stars_of(left[i], right[j], ids)
+
+
+def stars_of(a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> tuple[list, list]:
+    """The same for links from places ``a`` to places ``b`` of ``ids``."""
     label = ids.copy()
     while True:
         least = np.minimum(label[a], label[b])

@@ -11,7 +11,11 @@ A window holds a constant share of all vectors, so counting over all pairs would
 grow with their square. The vectors are first dealt into cells by the sides of
 several lines on which they lie, as many as make cells of a few hundred, and
 dealt again by other lines until a pair at the threshold has shared a cell with
-the stated recall. Collisions are counted within cells. No pair leaves a task:
+the stated recall. Collisions are counted within cells: sorted along a line, a
+window is a run of neighbours. The first lines' runs give the pairs that collide
+there, as a pair that may still reach the count has to on one of them; every
+further line adds to those pairs' counts and drops the ones that can't reach it
+any more, so no matrix of all pairs is kept. No pair leaves a task:
 links are added up per vector, in the first cell that holds both, and groups
 leave as stars. Vectors that are equal are searched once.
 """
@@ -28,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deposit_analytics.llm.common import stored
-from deposit_analytics.llm.components import components, local_stars
+from deposit_analytics.llm.components import components, stars_of
 
 THRESHOLD = 0.95
 RECALL = 0.999
@@ -80,6 +84,8 @@ def _dealt(batches: Iterator[pa.RecordBatch], sides: int, deals: int) -> Iterato
             for size in np.unique(lengths):
                 rows = np.flatnonzero(lengths == size)
                 x = np.stack(vectors[rows]).astype(np.float64)
+                # By the largest component first, so that no square is too large or too small for a double.
+                x /= np.abs(x).max(axis=1, keepdims=True)
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
                 on = (x @ _lines(sides * deals, size, 0) > 0).reshape(len(rows), deals, sides)
                 cells = on @ powers * (1 << 16) + size
@@ -94,19 +100,48 @@ def _dealt(batches: Iterator[pa.RecordBatch], sides: int, deals: int) -> Iterato
                     )
 
 
-def collisions(left: np.ndarray, right: np.ndarray, reach: float) -> np.ndarray:
-    """Lines on which each right vector lies in the window centred on each left one."""
+def _runs(values: np.ndarray, centres: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the values on a line, and where each centre's window begins and ends in it."""
+    order = np.argsort(values)
+    ordered = values[order]
+    return order, np.searchsorted(ordered, centres - reach, "left"), np.searchsorted(ordered, centres + reach, "right")
+
+
+def collided(left: np.ndarray, right: np.ndarray, reach: float, needed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of left and right that collide on at least ``needed`` lines: right in the window centred on left.
+
+    A pair misses at most so many lines, so it collides on one of any more than
+    that; lines beyond those only add to the pairs that the first ones gave.
+    """
+    if not len(left) or not len(right):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     lines = _lines(LINES, left.shape[1], 1)
-    out = np.zeros((len(left), len(right)), np.uint8)
-    for a, b in zip((left @ lines).T, (right @ lines).T, strict=True):
-        # Sorted along the line, a window is a run of places.
-        order = np.argsort(b)
-        first = np.searchsorted(b[order], a - reach, "left")
-        last = np.searchsorted(b[order], a + reach, "right")
-        places = np.empty(len(b), np.int64)
-        places[order] = np.arange(len(b))
-        out += (places[None, :] >= first[:, None]) & (places[None, :] < last[:, None])
-    return out
+    on_left, on_right = left @ lines, right @ lines
+    spare = LINES - needed
+    pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for line in range(LINES):
+        if line <= spare:
+            order, first, last = _runs(on_right[:, line], on_left[:, line], reach)
+            sizes = last - first
+            place = np.repeat(first, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            new = np.repeat(np.arange(len(left)), sizes) * len(right) + order[place]
+            new.sort()
+            hit = np.zeros(len(pairs), bool)
+            at = np.searchsorted(pairs, new)
+            known = at < len(pairs)
+            known[known] = pairs[at[known]] == new[known]
+            hit[at[known]] = True
+            counts += hit
+            pairs, counts = np.concatenate([pairs, new[~known]]), np.concatenate([counts, np.ones((~known).sum(), np.int64)])
+            order = np.argsort(pairs, kind="stable")
+            pairs, counts = pairs[order], counts[order]
+        else:
+            i, j = pairs // len(right), pairs % len(right)
+            counts += np.abs(on_right[j, line] - on_left[i, line]) <= reach
+        # What is missing is missed for good.
+        may = counts + (LINES - 1 - line) >= needed
+        pairs, counts = pairs[may], counts[may]
+    return pairs // len(right), pairs % len(right)
 
 
 def _compare(group: pd.DataFrame, threshold: float, needed: int) -> pd.DataFrame | None:
@@ -117,19 +152,17 @@ def _compare(group: pd.DataFrame, threshold: float, needed: int) -> pd.DataFrame
     right = np.flatnonzero((group["block"] == group["second"]).to_numpy())
     x = np.stack([np.frombuffer(one) for one in group["vector"]])
     distance = math.sqrt(2 - 2 * threshold)
-    near = collisions(x[left], x[right], REACH * distance) >= needed
-    if same:
-        np.fill_diagonal(near, False)
-    i, j = np.nonzero(near)
+    i, j = collided(x[left], x[right], REACH * distance, needed)
+    close = np.ones(len(i), bool) if not same else i != j
     for start in range(0, len(i), PAIRS):
         part = slice(start, start + PAIRS)
         cosine = np.einsum("ij,ij->i", x[left[i[part]]], x[right[j[part]]])
-        near[i[part], j[part]] = cosine >= threshold
-    i, j = np.nonzero(near)
+        close[part] &= cosine >= threshold
+    i, j = i[close], j[close]
     if not len(i):
         return None
     nodes, copies = group["node"].to_numpy(), group["copies"].to_numpy()
-    stars = local_stars(near, left, right, nodes)
+    stars = stars_of(left[i], right[j], nodes)
     cells = np.stack([np.frombuffer(one, np.int64) for one in group["cells"]])
     counted = np.ones(len(i), bool)
     for earlier in range(deal):

@@ -16,6 +16,7 @@ processed in the same way.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import struct
 import tempfile
@@ -207,8 +208,6 @@ def _paths(conversations: DataFrame, turns: DataFrame) -> DataFrame:
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """SHA-256 of each node's pieces, which come in order, one node after the other."""
-    import hashlib
-
     names, last, digest = ("depth", "a", "b"), None, None
     schema = pa.schema([*[(name, pa.int64()) for name in names], ("ends_sha256", pa.string())])
 

@@ -6,7 +6,12 @@ import pytest
 import brute
 from deposit_analytics.llm import embedding_dedup
 
-SCHEMA = "vec_id long, embedding array<float>, node string, kept int"
+SCHEMA = "vec_id long, embedding array<double>, node string, kept int"
+
+
+def unit(x):
+    x = x / np.abs(x).max()
+    return x / np.linalg.norm(x)
 
 
 def plain(rows):
@@ -18,7 +23,7 @@ def plain(rows):
     groups, links = brute.Groups(range(len(rows))), [0] * len(rows)
     for at, (a, x) in enumerate(good):
         for b, y in good[at + 1 :]:
-            if len(x) == len(y) and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= 0.95:
+            if len(x) == len(y) and unit(x) @ unit(y) >= 0.95:
                 links[a] += 1
                 links[b] += 1
                 groups.tie(a, b)
@@ -78,3 +83,41 @@ def test_counts_are_calibrated():
         reached += hits >= needed
     assert reached >= 0.995 * 2000
     assert embedding_dedup.deals_for(8, 0.95, 0.999) == 13
+
+
+def test_very_large_and_very_small_numbers(spark):
+    rows = [(1, [1e200, 1e200]), (2, [2e200, 2.1e200]), (3, [1e-200, 1e-200]), (4, [1.0, 1.0]), (5, [5e-324, 0.0]), (6, [1e308, 0.0]),
+            (7, [1e308, -1e308]), (8, [1e-300, -1e-300]), (9, [0.0, -1.0])]
+    got = run(spark, rows)
+    assert got == plain(rows)
+    assert [row[1] for row in got] == [3, 3, 3, 3, 1, 1, 1, 1, 0]
+
+
+@pytest.mark.parametrize("needed", [0, 5, 25, 32])
+def test_pairs_collide_as_often_as_windows_say(needed):
+    rng = np.random.default_rng(needed)
+    left, right = rng.standard_normal((40, 6)), rng.standard_normal((60, 6))
+    lines = embedding_dedup._lines(embedding_dedup.LINES, 6, 1)
+    counts = (np.abs((left @ lines)[:, None, :] - (right @ lines)[None, :, :]) <= 1.5).sum(axis=2)
+    i, j = embedding_dedup.collided(left, right, 1.5, needed)
+    want = {(a, b) for a, b in zip(*np.nonzero((counts >= needed) & (counts > 0)), strict=True)}
+    assert set(zip(i.tolist(), j.tolist(), strict=True)) >= {(int(a), int(b)) for a, b in want}
+    assert all(counts[a, b] >= needed for a, b in zip(i, j, strict=True))
+    assert len(i) == len(set(zip(i.tolist(), j.tolist(), strict=True)))
+    assert len(embedding_dedup.collided(left[:0], right, 1.5, needed)[0]) == 0
+
+
+def test_recall_at_the_threshold(spark):
+    """Pairs whose cosine is just above the threshold, the hardest to find."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for k in range(400):
+        x = rng.standard_normal(24)
+        x /= np.linalg.norm(x)
+        y = rng.standard_normal(24)
+        y -= (y @ x) * x
+        y /= np.linalg.norm(y)
+        rows += [(2 * k, x.tolist()), (2 * k + 1, (0.9505 * x + np.sqrt(1 - 0.9505**2) * y).tolist())]
+    got, want = run(spark, rows), plain(rows)
+    assert sum(one[1] for one in want) >= 800
+    assert sum(one[1] for one in got) >= 0.99 * sum(one[1] for one in want)
