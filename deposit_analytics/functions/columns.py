@@ -37,8 +37,9 @@ def _without_marker(remaining: Column) -> Column:
 
 
 def readable(remaining: Column) -> Column:
-    """False for balance texts without a number, which sums skip."""
-    return F.coalesce(_without_marker(remaining).rlike(NUMBER), F.lit(False))
+    """False for balance texts without a number, which sums skip; looked at closely only where the cast gave NULL."""
+    text = _without_marker(remaining)
+    return F.when(text.try_cast(MONEY).isNotNull(), F.lit(True)).otherwise(F.coalesce(text.rlike(NUMBER), F.lit(False)))
 
 
 def amount(remaining: Column, money: str = MONEY, sign: str = "ignore") -> Column:
