@@ -12,10 +12,10 @@ grow with their square. The vectors are first dealt into cells by the sides of
 several lines on which they lie, as many as make cells of a few hundred, and
 dealt again by other lines until a pair at the threshold has shared a cell with
 the stated recall. Collisions are counted within cells: sorted along a line, a
-window is a run of neighbours. The first lines' runs give the pairs that collide
-there, as a pair that may still reach the count has to on one of them; every
-further line adds to those pairs' counts and drops the ones that can't reach it
-any more, so no matrix of all pairs is kept. No pair leaves a task:
+window is a run of neighbours. The first lines' runs, sorted together, give the
+pairs that collide there and how often, as a pair that reaches the count has to on
+one of them; every further line adds to those counts and drops the pairs that
+can't reach it any more. No pair leaves a task:
 links are added up per vector, in the first cell that holds both, and groups
 leave as stars. Vectors that are equal are searched once.
 """
@@ -118,30 +118,20 @@ def collided(left: np.ndarray, right: np.ndarray, reach: float, needed: int) ->
     lines = _lines(LINES, left.shape[1], 1)
     on_left, on_right = left @ lines, right @ lines
     spare = LINES - needed
-    pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for line in range(LINES):
-        if line <= spare:
-            order, first, last = _runs(on_right[:, line], on_left[:, line], reach)
-            sizes = last - first
-            place = np.repeat(first, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            new = np.repeat(np.arange(len(left)), sizes) * len(right) + order[place]
-            new.sort()
-            hit = np.zeros(len(pairs), bool)
-            at = np.searchsorted(pairs, new)
-            known = at < len(pairs)
-            known[known] = pairs[at[known]] == new[known]
-            hit[at[known]] = True
-            counts += hit
-            pairs, counts = np.concatenate([pairs, new[~known]]), np.concatenate([counts, np.ones((~known).sum(), np.int64)])
-            order = np.argsort(pairs, kind="stable")
-            pairs, counts = pairs[order], counts[order]
-        else:
-            i, j = pairs // len(right), pairs % len(right)
-            counts += np.abs(on_right[j, line] - on_left[i, line]) <= reach
+    found = []
+    for line in range(min(spare + 1, LINES)):
+        order, first, last = _runs(on_right[:, line], on_left[:, line], reach)
+        sizes = last - first
+        place = np.repeat(first, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        found.append(np.repeat(np.arange(len(left)), sizes) * len(right) + order[place])
+    pairs, counts = np.unique(np.concatenate(found), return_counts=True)
+    i, j = pairs // len(right), pairs % len(right)
+    for line in range(spare + 1, LINES):
+        counts += np.abs(on_right[j, line] - on_left[i, line]) <= reach
         # What is missing is missed for good.
         may = counts + (LINES - 1 - line) >= needed
-        pairs, counts = pairs[may], counts[may]
-    return pairs // len(right), pairs % len(right)
+        i, j, counts = i[may], j[may], counts[may]
+    return i, j
 
 
 def _compare(group: pd.DataFrame, threshold: float, needed: int) -> pd.DataFrame | None:
