@@ -71,7 +71,10 @@ def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scores.score(_table(spark, sf_dir, "documents"))
+    scores = lm_scores.score(_table(spark, sf_dir, "documents"))
+    # Sums of logarithms differ in their last digits by the order of the words.
+    digits = {"log_score": 4, "mean_score": 8, "backed_off": 8}
+    return scores.withColumns({name: F.round(name, places) for name, places in digits.items()})
 
 
 def op7_shingle_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,6 +289,35 @@ FROM parts d JOIN items i ON d.part = i.part
 WHERE d.doc_id IS NOT NULL
 GROUP BY d.doc_id, i.item_id HAVING sum(i.weight) / any_value(i.whole) >= 0.8 - 1e-9"""
 
+# Counts of words and pairs as tables, less the document's own.
+_SCORES = rf"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents),
+tokens AS (
+  SELECT row, len(w) AS n_words, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM docs),
+pairs AS (
+  SELECT a.row, a.n_words, a.place, a.word, b.word AS before
+  FROM tokens a LEFT JOIN tokens b ON a.row = b.row AND a.place = b.place + 1),
+words AS (SELECT word, count(*) AS n FROM pairs GROUP BY word),
+own_words AS (SELECT row, word, count(*) AS n FROM pairs GROUP BY row, word),
+bigrams AS (SELECT before, word, count(*) AS n FROM pairs WHERE place > 1 GROUP BY before, word),
+own_bigrams AS (SELECT row, before, word, count(*) AS n FROM pairs WHERE place > 1 GROUP BY row, before, word),
+counted AS (
+  SELECT p.row, p.place, p.n_words, w.n - o.n AS of_word, c.n - d.n AS of_context, coalesce(b.n - e.n, 0) AS of_pair
+  FROM pairs p JOIN words w ON w.word = p.word JOIN own_words o ON o.row = p.row AND o.word = p.word
+  LEFT JOIN words c ON c.word = p.before LEFT JOIN own_words d ON d.row = p.row AND d.word = p.before
+  LEFT JOIN bigrams b ON b.before = p.before AND b.word = p.word
+  LEFT JOIN own_bigrams e ON e.row = p.row AND e.before = p.before AND e.word = p.word),
+scored AS (
+  SELECT row, sum(ln(CASE WHEN of_pair > 0 THEN of_pair / of_context
+                          ELSE CASE WHEN place > 1 THEN {lm_scores.BACKOFF} :: DOUBLE ELSE 1.0 :: DOUBLE END
+                               * greatest(of_word :: DOUBLE, {lm_scores.UNSEEN} :: DOUBLE)
+                               / greatest((SELECT count(*) FROM tokens) - n_words, 1) END)) AS log_score,
+         count(*) FILTER (place > 1 AND of_pair = 0) AS backed
+  FROM counted GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(log_score, 0.0 :: DOUBLE), 4) AS log_score,
+       round(log_score / len(w), 8) AS mean_score, round(backed :: DOUBLE / len(w), 8) AS backed_off
+FROM docs LEFT JOIN scored ON docs.row = scored.row"""
+
 # CRC-32 of the digits of an id, bit by bit.
 _CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295 :: BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
   lambda c, byte: list_reduce(list_prepend(xor(c, byte), list_transform(range(8), lambda i: i :: BIGINT)),
@@ -359,6 +391,7 @@ ORACLES = {
     "op1_source_mix": _MIX,
     "op4_license_notices": _LICENSES,
     "op5_near_vectors": _VECTORS,
+    "op6_lm_scores": _SCORES,
     "op7_shingle_jaccard_join": _NEAR,
     "op9_capture_index": _CAPTURES,
     "op10_benchmark_leaks": _LEAKS,
