@@ -1,13 +1,15 @@
 """Stupid-backoff scores of documents, from n-gram counts of the whole corpus.
 
 Documents are gathered into chunks of some megabytes, stored as a word list and
-codes, in buckets by chunk. Each chunk's distinct n-grams, with their counts in the chunk, go to the
-partitions of their hashes. There the counts of all chunks are added up: that
-is the count table. The totals go back to the chunks that asked, where they are
-joined to the n-grams of every position and summed per document.
+codes, in buckets by chunk. For every order, each chunk's distinct n-grams, with their
+counts in the chunk, go to the partitions of their hashes. There the counts of all
+chunks are added up: that is the count table of the order. The totals go back to the
+chunks that asked, where they are joined to the n-grams of every position and summed
+per document.
 
 An n-gram travels once per chunk, however often it occurs, so a hot word is one
-row per chunk in its partition and no partition holds a hot group.
+entry per chunk in its partition and no partition holds a hot group. It is named by all 64
+bits of its hash; the sorted hashes of a chunk travel as differences.
 
 A document is scored by the counts of the others: its own occurrences are taken
 out, so that a text repeated elsewhere scores high and a unique one backs off.
@@ -28,27 +30,42 @@ from pyspark.sql import functions as F
 from deposit_analytics.llm import shingles
 from deposit_analytics.sources import sinks
 
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
 UNSEEN = 0.5
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 12 << 20
 PART_GRAMS = 2_000_000
 
 _STEP = np.uint64(0xA0761D6478BD642F)
 
-# Bytes of an n-gram's hash in its partition: the partition stands for the rest.
-GRAM_BYTES = 6
+# Differences of sorted hashes are even noise in their low bytes; the bytes above compress.
+NOISE_BYTES = 5
 
 
-def _cut(values: np.ndarray, width: int) -> bytes:
-    """The low ``width`` bytes of each number."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers as compressed byte planes, the low bytes of all first."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return pa.compress(planes, codec="zstd", asbytes=True)
 
 
-def _uncut(raw: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(raw) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
-    return out.view("<u8").ravel()
+def _numbers(raw: bytes, count: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(raw, 8 * count, codec="zstd"), np.uint8).reshape(8, count)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def _packed(hashes: np.ndarray) -> bytes:
+    """Ascending hashes as their differences: low bytes as they are, then the planes of the rest."""
+    steps = np.diff(hashes, prepend=np.uint64(0)).astype("<u8")
+    low = steps.view(np.uint8).reshape(-1, 8)[:, :NOISE_BYTES]
+    return low.tobytes() + _planes(steps >> np.uint64(8 * NOISE_BYTES))
+
+
+def _unpacked(raw: bytes, count: int) -> np.ndarray:
+    steps = np.zeros((count, 8), np.uint8)
+    cut = count * NOISE_BYTES
+    steps[:, :NOISE_BYTES] = np.frombuffer(raw[:cut], np.uint8).reshape(count, NOISE_BYTES)
+    high = _numbers(raw[cut:], count) << np.uint64(8 * NOISE_BYTES)
+    return np.cumsum(steps.view("<u8").ravel() + high, dtype=np.uint64)
 
 
 def grams(words: np.ndarray, offsets: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -65,30 +82,30 @@ def grams(words: np.ndarray, offsets: np.ndarray, order: int) -> list[tuple[np.n
     return found
 
 
-def _chunk(number: int, doc_ids: list, words: list[np.ndarray], sizes: list[np.ndarray], order: int) -> pa.RecordBatch:
+def _chunk(number: int, doc_ids: list, words: list[np.ndarray], sizes: list[np.ndarray]) -> pa.RecordBatch:
     every = np.concatenate(words)
-    counts = np.concatenate(sizes)
-    vocabulary, codes = np.unique(every, return_inverse=True)
-    found = grams(every, np.concatenate([[0], np.cumsum(counts)]), order)
-    distinct = sum(len(np.unique(hashes)) for _, hashes in found)
+    vocabulary, codes, uses = np.unique(every, return_inverse=True, return_counts=True)
+    # Frequent words have small codes, which compress.
+    frequent = np.argsort(-uses, kind="stable")
+    rank = np.empty(len(frequent), np.int64)
+    rank[frequent] = np.arange(len(frequent))
     return pa.RecordBatch.from_arrays(
         [
             pa.array([number]),
             pa.array([len(every)]),
-            pa.array([distinct]),
             pa.array([doc_ids], pa.list_(pa.int64())),
-            pa.array([counts.astype(np.int64).tobytes()], pa.binary()),
-            pa.array([vocabulary.tobytes()], pa.binary()),
-            pa.array([_cut(codes, 3 if len(vocabulary) < 1 << 24 else 4)], pa.binary()),
+            pa.array([np.concatenate(sizes).astype(np.int64).tobytes()], pa.binary()),
+            pa.array([vocabulary[frequent].tobytes()], pa.binary()),
+            pa.array([_planes(rank[codes])], pa.binary()),
         ],
-        ["chunk", "n_words", "n_grams", "doc_ids", "sizes", "vocabulary", "codes"],
+        ["chunk", "n_words", "doc_ids", "sizes", "vocabulary", "codes"],
     )
 
 
-_CHUNK = "chunk long, n_words long, n_grams long, doc_ids array<long>, sizes binary, vocabulary binary, codes binary"
+_CHUNK = "chunk long, n_words long, doc_ids array<long>, sizes binary, vocabulary binary, codes binary"
 
 
-def _chunked(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
     doc_ids, words, sizes, held = [], [], [], 0
     for batch in batches:
@@ -102,61 +119,78 @@ def _chunked(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.Recor
             sizes.append(np.diff(at))
             held += high - low
             if held >= CHUNK_BYTES:
-                yield _chunk(number, doc_ids, words, sizes, order)
+                yield _chunk(number, doc_ids, words, sizes)
                 number, doc_ids, words, sizes, held = number + 1, [], [], [], 0
     if doc_ids:
-        yield _chunk(number, doc_ids, words, sizes, order)
+        yield _chunk(number, doc_ids, words, sizes)
 
 
 def _opened(sizes: bytes, vocabulary: bytes, codes: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of a chunk, and the words before each document."""
     offsets = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, np.int64))])
-    if not len(codes):
-        return np.zeros(0, np.uint64), offsets
-    return np.frombuffer(vocabulary, np.uint64)[_uncut(codes, len(codes) // int(offsets[-1]))], offsets
+    return np.frombuffer(vocabulary, np.uint64)[_numbers(codes, int(offsets[-1]))], offsets
 
 
 def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Parts of even ranges; a larger hash has no smaller part."""
     return (hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
 
 
+_ASKED = "n int, part long, chunk long, n_grams long, grams binary, counts binary"
+
+
 def _asked(batches: Iterator[pa.RecordBatch], order: int, parts: int) -> Iterator[pa.RecordBatch]:
-    """part, chunk, the chunk's distinct n-grams of that part, their counts in the chunk."""
+    """By order and part: the chunk's distinct n-grams, ascending, and their counts in the chunk."""
     for batch in batches:
         for row in batch.to_pylist():
-            found = grams(*_opened(row["sizes"], row["vocabulary"], row["codes"]), order)
-            hashes, counts = np.unique(np.concatenate([one for _, one in found]), return_counts=True)
-            places = _part(hashes, parts)
-            for place in np.unique(places):
-                mine = places == place
+            for n, (_, found) in enumerate(grams(*_opened(row["sizes"], row["vocabulary"], row["codes"]), order), 1):
+                hashes, counts = np.unique(found, return_counts=True)
+                owners, starts = np.unique(_part(hashes, parts), return_index=True)
+                pieces = list(zip(np.split(hashes, starts[1:]), np.split(counts, starts[1:]), strict=True))[: len(owners)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([int(place)]),
-                        pa.array([row["chunk"]]),
-                        pa.array([_cut(hashes[mine], GRAM_BYTES)], pa.binary()),
-                        pa.array([counts[mine].astype(np.uint32).tobytes()], pa.binary()),
+                        pa.array([n] * len(owners), pa.int32()),
+                        pa.array(owners.astype(np.int64)),
+                        pa.array([row["chunk"]] * len(owners), pa.int64()),
+                        pa.array([len(one) for one, _ in pieces], pa.int64()),
+                        pa.array([_packed(one) for one, _ in pieces], pa.binary()),
+                        pa.array([_planes(one) for _, one in pieces], pa.binary()),
                     ],
-                    ["part", "chunk", "grams", "counts"],
+                    ["n", "part", "chunk", "n_grams", "grams", "counts"],
                 )
 
 
 def _totals(group: pd.DataFrame) -> pd.DataFrame:
-    """The count table of one part, answered to every chunk that asked."""
-    asked = [_uncut(one, GRAM_BYTES) for one in group["grams"]]
-    counts = np.concatenate([np.frombuffer(one, np.uint32) for one in group["counts"]])
-    table, place = np.unique(np.concatenate(asked), return_inverse=True)
+    """One part of an order's count table, answered to every chunk that asked."""
+    sizes = group["n_grams"].to_numpy()
+    asked = np.concatenate([_unpacked(*one) for one in zip(group["grams"], sizes, strict=True)])
+    counts = np.concatenate([_numbers(*one) for one in zip(group["counts"], sizes, strict=True)])
+    table, place = np.unique(asked, return_inverse=True)
     totals = np.bincount(place, counts, len(table)).astype(np.uint64)[place]
-    cuts = np.cumsum([len(one) for one in asked])[:-1]
-    return pd.DataFrame(
-        {
-            "chunk": group["chunk"],
-            "part": group["part"],
-            "totals": [one.tobytes() for one in np.split(totals, cuts)],
-        }
-    )
+    answers = np.split(totals, np.cumsum(sizes)[:-1])
+    return group[["n", "part", "chunk", "n_grams"]].assign(totals=[_planes(one) for one in answers])
+
+
+def _others(hashes: np.ndarray, doc: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """How often other documents have the n-gram of each place.
+
+    ``totals`` are those of the distinct hashes in ascending order. Places come by
+    document, so that in a stable sort a document's own occurrences lie together.
+    """
+    if not len(hashes):
+        return np.zeros(0)
+    by_hash = np.argsort(hashes, kind="stable")
+    sorted_hashes, sorted_docs = hashes[by_hash], doc[by_hash]
+    new_hash = np.concatenate([[True], sorted_hashes[1:] != sorted_hashes[:-1]])
+    own = new_hash | np.concatenate([[True], sorted_docs[1:] != sorted_docs[:-1]])
+    starts = np.flatnonzero(own)
+    owned = np.diff(starts, append=len(hashes))
+    found = np.empty(len(hashes))
+    found[by_hash] = totals[np.cumsum(new_hash) - 1].astype(np.float64) - owned[np.cumsum(own) - 1]
+    return found
 
 
-def _scored(chunk: pd.DataFrame, answers: pd.DataFrame, order: int, parts: int, everything: int) -> pd.DataFrame:
+def _scored(chunk: pd.DataFrame, answers: pd.DataFrame, order: int, everything: int) -> pd.DataFrame:
     """Scores of the documents of one chunk."""
     row = chunk.iloc[0]
     words, offsets = _opened(row["sizes"], row["vocabulary"], row["codes"])
@@ -164,31 +198,25 @@ def _scored(chunk: pd.DataFrame, answers: pd.DataFrame, order: int, parts: int,
     logs = np.zeros(len(sizes))
     backed = np.zeros(len(sizes))
     if len(words):
-        found = grams(words, offsets, order)
-        hashes, place = np.unique(np.concatenate([one for _, one in found]), return_inverse=True)
-        totals = np.zeros(len(hashes), np.uint64)
-        owner = _part(hashes, parts)
-        for part, one in zip(answers["part"], answers["totals"], strict=True):
-            totals[owner == part] = np.frombuffer(one, np.uint64)
         doc = np.repeat(np.arange(len(sizes)), sizes)
-        at = np.concatenate([one for one, _ in found])
-        _, again, own = np.unique(doc[at] * len(hashes) + place, return_inverse=True, return_counts=True)
-        others = totals[place].astype(np.float64) - own[again]
-        counts = np.zeros((order + 1, len(words)))
-        cut = 0
-        for n, (places, _) in enumerate(found, 1):
-            counts[n, places] = others[cut : cut + len(places)]
-            cut += len(places)
-        rest = everything - sizes[doc].astype(np.float64)
         at = np.arange(len(words)) - offsets[:-1][doc]
         highest = np.minimum(order, at + 1)
-        score = BACKOFF ** (highest - 1.0) * np.maximum(counts[1], UNSEEN) / np.maximum(rest, 1)
-        used = np.ones(len(words), np.int64)
-        for n in range(2, order + 1):
-            # The context ends one word earlier, in the same document.
-            hit = np.flatnonzero(counts[n] > 0)
-            score[hit] = BACKOFF ** (highest[hit] - n) * counts[n, hit] / counts[n - 1, hit - 1]
-            used[hit] = n
+        rest = np.maximum(everything - sizes[doc].astype(np.float64), 1)
+        answers = answers.sort_values(["n", "part"])
+        score, used, context = np.zeros(len(words)), np.ones(len(words), np.int64), np.zeros(len(words))
+        for n, (places, hashes) in enumerate(grams(words, offsets, order), 1):
+            mine = answers[answers["n"] == n]
+            totals = [_numbers(*one) for one in zip(mine["totals"], mine["n_grams"], strict=True)]
+            count = np.zeros(len(words))
+            count[places] = _others(hashes, doc[places], np.concatenate(totals)) if totals else 0
+            if n == 1:
+                score = BACKOFF ** (highest - 1.0) * np.maximum(count, UNSEEN) / rest
+            else:
+                # The context ends one word earlier, in the same document.
+                hit = np.flatnonzero(count > 0)
+                score[hit] = BACKOFF ** (highest[hit] - n) * count[hit] / context[hit - 1]
+                used[hit] = n
+            context = count
         logs = np.bincount(doc, np.log(score), len(sizes))
         backed = np.bincount(doc, used < highest, len(sizes))
     some = np.maximum(sizes, 1)
@@ -229,22 +257,22 @@ def score(docs: DataFrame, *, order: int = ORDER) -> DataFrame:
     other. An empty table gives no rows. Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chunks = _bucketed(docs.mapInArrow(lambda batches: _chunked(batches, order), _CHUNK))
-    words, asked = chunks.agg(F.sum("n_words"), F.sum("n_grams")).first()
-    everything, parts = words or 0, (asked or 0) // PART_GRAMS + 1
-    codes = chunks.select("chunk", "sizes", "vocabulary", "codes")
+    chunks = _bucketed(docs.mapInArrow(_chunked, _CHUNK))
+    everything = chunks.agg(F.sum("n_words")).first()[0] or 0
+    # The n-grams of an order are at most as many as the words.
+    parts = everything // PART_GRAMS + 1
+    codes = chunks.where("n_words > 0").select("chunk", "sizes", "vocabulary", "codes")
     answers = (
-        codes.where(F.length("codes") > 0)
-        .mapInArrow(lambda batches: _asked(batches, order, parts), "part long, chunk long, grams binary, counts binary")
-        .groupBy("part")
-        .applyInPandas(_totals, "chunk long, part long, totals binary")
+        codes.mapInArrow(lambda batches: _asked(batches, order, parts), _ASKED)
+        .groupBy("n", "part")
+        .applyInPandas(_totals, "n int, part long, chunk long, n_grams long, totals binary")
     )
     scores = (
         chunks.select("chunk", "doc_ids", "sizes", "vocabulary", "codes")
         .groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
         .applyInPandas(
-            lambda chunk, found: _scored(chunk, found, order, parts, everything),
+            lambda chunk, found: _scored(chunk, found, order, everything),
             "doc_id long, n_words long, log_score double, mean_score double, backed_off double",
         )
     )

@@ -294,26 +294,28 @@ _SCORES = rf"""
 WITH docs AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents),
 tokens AS (
   SELECT row, len(w) AS n_words, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM docs),
-pairs AS (
-  SELECT a.row, a.n_words, a.place, a.word, b.word AS before
-  FROM tokens a LEFT JOIN tokens b ON a.row = b.row AND a.place = b.place + 1),
-words AS (SELECT word, count(*) AS n FROM pairs GROUP BY word),
-own_words AS (SELECT row, word, count(*) AS n FROM pairs GROUP BY row, word),
-bigrams AS (SELECT before, word, count(*) AS n FROM pairs WHERE place > 1 GROUP BY before, word),
-own_bigrams AS (SELECT row, before, word, count(*) AS n FROM pairs WHERE place > 1 GROUP BY row, before, word),
+grams AS (
+  SELECT row, n_words, place, word AS c, lag(word) OVER (PARTITION BY row ORDER BY place) AS b,
+         lag(word, 2) OVER (PARTITION BY row ORDER BY place) AS a
+  FROM tokens),
 counted AS (
-  SELECT p.row, p.place, p.n_words, w.n - o.n AS of_word, c.n - d.n AS of_context, coalesce(b.n - e.n, 0) AS of_pair
-  FROM pairs p JOIN words w ON w.word = p.word JOIN own_words o ON o.row = p.row AND o.word = p.word
-  LEFT JOIN words c ON c.word = p.before LEFT JOIN own_words d ON d.row = p.row AND d.word = p.before
-  LEFT JOIN bigrams b ON b.before = p.before AND b.word = p.word
-  LEFT JOIN own_bigrams e ON e.row = p.row AND e.before = p.before AND e.word = p.word),
+  SELECT row, n_words, place,
+         count(*) OVER (PARTITION BY c) - count(*) OVER (PARTITION BY row, c) AS of_one,
+         count(*) OVER (PARTITION BY b, c) - count(*) OVER (PARTITION BY row, b, c) AS of_two,
+         count(*) OVER (PARTITION BY a, b, c) - count(*) OVER (PARTITION BY row, a, b, c) AS of_three
+  FROM grams),
+contexts AS (
+  SELECT *, lag(of_one) OVER (PARTITION BY row ORDER BY place) AS after_one,
+         lag(of_two) OVER (PARTITION BY row ORDER BY place) AS after_two, least(place, 3) AS highest,
+         CASE WHEN place > 2 AND of_three > 0 THEN 3 WHEN place > 1 AND of_two > 0 THEN 2 ELSE 1 END AS used
+  FROM counted),
 scored AS (
-  SELECT row, sum(ln(CASE WHEN of_pair > 0 THEN of_pair / of_context
-                          ELSE CASE WHEN place > 1 THEN {lm_scores.BACKOFF} :: DOUBLE ELSE 1.0 :: DOUBLE END
-                               * greatest(of_word :: DOUBLE, {lm_scores.UNSEEN} :: DOUBLE)
-                               / greatest((SELECT count(*) FROM tokens) - n_words, 1) END)) AS log_score,
-         count(*) FILTER (place > 1 AND of_pair = 0) AS backed
-  FROM counted GROUP BY row)
+  SELECT row, sum(ln(power({lm_scores.BACKOFF} :: DOUBLE, highest - used)
+                     * CASE used WHEN 3 THEN of_three / after_two WHEN 2 THEN of_two / after_one
+                                 ELSE greatest(of_one :: DOUBLE, {lm_scores.UNSEEN} :: DOUBLE)
+                                      / greatest((SELECT count(*) FROM tokens) - n_words, 1) END)) AS log_score,
+         count(*) FILTER (used < highest) AS backed
+  FROM contexts GROUP BY row)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(log_score, 0.0 :: DOUBLE), 4) AS log_score,
        round(log_score / len(w), 8) AS mean_score, round(backed :: DOUBLE / len(w), 8) AS backed_off
 FROM docs LEFT JOIN scored ON docs.row = scored.row"""

@@ -137,7 +137,7 @@ def greedy_shards(sizes, shards=8):
     return low, fill(low)
 
 
-def backoff_scores(rows, order=2, alpha=0.4, unseen=0.5):
+def backoff_scores(rows, order=3, alpha=0.4, unseen=0.5):
     every = [words(text) for _, text in rows]
     own = [
         Counter(tuple(one[i - n + 1 : i + 1]) for n in range(1, order + 1) for i in range(n - 1, len(one))) for one in every

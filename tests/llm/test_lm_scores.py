@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 import brute
@@ -17,7 +18,7 @@ def want(rows, **options):
     return sorted(((d, n, round(s, 6)) for d, n, s in brute.backoff_scores(rows, **options)), key=str)
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_scores_equal_the_plain_version(spark, order, monkeypatch):
     # Small chunks and parts, so that counts meet from many of them.
     monkeypatch.setattr(lm_scores, "CHUNK_BYTES", 500)
@@ -42,3 +43,13 @@ def test_odd_rows(spark):
     assert run(spark, []) == []
     means = lm_scores.score(spark.createDataFrame([(1, None)], "doc_id long, text string")).first()
     assert (means.mean_score, means.backed_off) == (None, None)
+
+
+def test_hashes_come_back_whole():
+    rng = np.random.default_rng(6)
+    every = rng.integers(0, 1 << 64, 5000, dtype=np.uint64, endpoint=False)
+    edges = np.array([0, 1, 1 << 40, (1 << 40) - 1, (1 << 64) - 1], np.uint64)
+    for hashes in (np.unique(np.concatenate([every, edges])), edges[:1], edges[-1:], edges[:0]):
+        hashes = np.sort(hashes)
+        assert (lm_scores._unpacked(lm_scores._packed(hashes), len(hashes)) == hashes).all()
+        assert (lm_scores._numbers(lm_scores._planes(hashes), len(hashes)) == hashes).all()
