@@ -33,7 +33,7 @@ from deposit_analytics.sources import sinks
 ORDER = 3
 BACKOFF = 0.4
 UNSEEN = 0.5
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 10 << 20
 PART_GRAMS = 2_000_000
 
 _STEP = np.uint64(0xA0761D6478BD642F)
@@ -68,18 +68,16 @@ def _unpacked(raw: bytes, count: int) -> np.ndarray:
     return np.cumsum(steps.view("<u8").ravel() + high, dtype=np.uint64)
 
 
-def grams(words: np.ndarray, offsets: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def grams(words: np.ndarray, offsets: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For every n up to ``order``: the places that end an n-gram inside a document, and its hash."""
-    place = np.arange(len(words)) - np.repeat(offsets[:-1], np.diff(offsets))
-    found = []
+    place = np.arange(len(words), dtype=np.int32) - np.repeat(offsets[:-1].astype(np.int32), np.diff(offsets))
     hashes = shingles.mixed(words ^ _STEP)
     for n in range(1, order + 1):
         if n > 1:
             with np.errstate(over="ignore"):
                 hashes = np.concatenate([hashes[:1], shingles.mixed(hashes[:-1] * _STEP + words[1:])])
-        at = np.flatnonzero(place >= n - 1)
-        found.append((at, hashes[at]))
-    return found
+        at = np.flatnonzero(place >= n - 1).astype(np.int32)
+        yield at, hashes[at]
 
 
 def _chunk(number: int, doc_ids: list, words: list[np.ndarray], sizes: list[np.ndarray]) -> pa.RecordBatch:
@@ -180,13 +178,16 @@ def _others(hashes: np.ndarray, doc: np.ndarray, totals: np.ndarray) -> np.ndarr
     if not len(hashes):
         return np.zeros(0)
     by_hash = np.argsort(hashes, kind="stable")
-    sorted_hashes, sorted_docs = hashes[by_hash], doc[by_hash]
-    new_hash = np.concatenate([[True], sorted_hashes[1:] != sorted_hashes[:-1]])
-    own = new_hash | np.concatenate([[True], sorted_docs[1:] != sorted_docs[:-1]])
+    ordered = hashes[by_hash]
+    new_hash = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    ordered = doc[by_hash]
+    own = new_hash | np.concatenate([[True], ordered[1:] != ordered[:-1]])
     starts = np.flatnonzero(own)
     owned = np.diff(starts, append=len(hashes))
+    # One value for each run of a document's own occurrences, put back to their places.
+    others = totals[np.cumsum(new_hash[starts]) - 1].astype(np.float64) - owned
     found = np.empty(len(hashes))
-    found[by_hash] = totals[np.cumsum(new_hash) - 1].astype(np.float64) - owned[np.cumsum(own) - 1]
+    found[by_hash] = np.repeat(others, owned)
     return found
 
 
@@ -198,19 +199,19 @@ def _scored(chunk: pd.DataFrame, answers: pd.DataFrame, order: int, everything:
     logs = np.zeros(len(sizes))
     backed = np.zeros(len(sizes))
     if len(words):
-        doc = np.repeat(np.arange(len(sizes)), sizes)
-        at = np.arange(len(words)) - offsets[:-1][doc]
-        highest = np.minimum(order, at + 1)
-        rest = np.maximum(everything - sizes[doc].astype(np.float64), 1)
+        doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        highest = np.minimum(np.arange(len(words), dtype=np.int32) - offsets[:-1].astype(np.int32)[doc] + 1, order)
+        rest = np.maximum(everything - sizes.astype(np.float64), 1)
         answers = answers.sort_values(["n", "part"])
-        score, used, context = np.zeros(len(words)), np.ones(len(words), np.int64), np.zeros(len(words))
+        score = context = np.zeros(0)
+        used = np.ones(len(words), np.int32)
         for n, (places, hashes) in enumerate(grams(words, offsets, order), 1):
             mine = answers[answers["n"] == n]
             totals = [_numbers(*one) for one in zip(mine["totals"], mine["n_grams"], strict=True)]
             count = np.zeros(len(words))
             count[places] = _others(hashes, doc[places], np.concatenate(totals)) if totals else 0
             if n == 1:
-                score = BACKOFF ** (highest - 1.0) * np.maximum(count, UNSEEN) / rest
+                score = BACKOFF ** (highest - 1.0) * np.maximum(count, UNSEEN) / rest[doc]
             else:
                 # The context ends one word earlier, in the same document.
                 hit = np.flatnonzero(count > 0)
