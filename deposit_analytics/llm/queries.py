@@ -325,6 +325,49 @@ _CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295 :: BIGINT, list_
   lambda c, byte: list_reduce(list_prepend(xor(c, byte), list_transform(range(8), lambda i: i :: BIGINT)),
     lambda v, i: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 :: BIGINT ELSE 0 END))))"""
 
+# CRC-32 by a table of the steps of each byte; the least capacity by dynamic programming over all pairs of places, where the operator searches it.
+_SHARDS = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size,
+         CAST('0x' || md5(coalesce(text, ''))[1:15] AS BIGINT) AS key, hex(encode(coalesce(text, ''))) AS digits
+  FROM documents),
+steps AS (
+  SELECT list(list_reduce(list_prepend(number, range(8)), lambda v, i:
+           xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY number) AS step
+  FROM range(256) AS numbers(number)),
+checked AS (
+  SELECT digits, xor(4294967295, list_reduce(
+           list_prepend(4294967295 :: BIGINT, list_transform(regexp_extract_all(digits, '..'), lambda x: CAST('0x' || x AS BIGINT))),
+           lambda c, byte: xor(c >> 8, step[1 + (xor(c, byte) & 255)]))) AS crc
+  FROM (SELECT DISTINCT digits FROM docs), steps),
+groups AS (SELECT key, sum(size) AS size FROM docs GROUP BY key),
+ends AS (
+  SELECT key, size, CAST(sum(size) OVER (ORDER BY key) AS BIGINT) AS past, row_number() OVER (ORDER BY key) AS place
+  FROM groups),
+places AS (SELECT place, past FROM ends UNION ALL SELECT 0, 0),
+best AS (
+  SELECT 1 AS k, place, past AS capacity FROM places
+  UNION ALL
+  SELECT b.k + 1, p.place, min(greatest(b.capacity, p.past - q.past))
+  FROM best b JOIN places q ON q.place = b.place JOIN places p ON p.place >= b.place
+  WHERE b.k < {sharding.SHARDS} GROUP BY b.k, p.place),
+least AS (SELECT min(capacity) AS capacity FROM best WHERE k = {sharding.SHARDS} AND place = (SELECT max(place) FROM places)),
+cuts AS (
+  SELECT 0 AS k, CAST(0 AS BIGINT) AS cut
+  UNION ALL
+  SELECT c.k + 1, max(p.past)
+  FROM cuts c JOIN places p ON p.past <= c.cut + (SELECT capacity FROM least)
+  WHERE c.k < {sharding.SHARDS - 1} GROUP BY c.k),
+placed AS (
+  SELECT key, (SELECT count(*) FROM cuts WHERE k > 0 AND cut <= e.past - e.size) AS shard FROM ends e),
+rows AS (
+  SELECT d.doc_id, d.size, c.crc, d.key, p.shard,
+         CAST('0x' || md5('slot:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || CAST(d.key AS VARCHAR))[1:15] AS BIGINT) AS hash
+  FROM docs d JOIN placed p ON p.key = d.key JOIN checked c ON c.digits = d.digits)
+SELECT doc_id, CAST(size AS BIGINT) AS size, crc AS text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY hash, doc_id, key) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM rows"""
+
 # Prefixes spelt out, and every node joined to all above it.
 _TRIE = rf"""
 WITH turns AS (
@@ -395,6 +438,7 @@ ORACLES = {
     "op5_near_vectors": _VECTORS,
     "op6_lm_scores": _SCORES,
     "op7_shingle_jaccard_join": _NEAR,
+    "op8_contiguous_shards": _SHARDS,
     "op9_capture_index": _CAPTURES,
     "op10_benchmark_leaks": _LEAKS,
     "op11_prefix_trie": _TRIE,

@@ -19,7 +19,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from deposit_analytics.llm.common import KEY_BITS, hashed_key, root_buckets, stored
+from deposit_analytics.llm.common import KEY_BITS, bucket_of, hashed_key, root_buckets, stored
 
 SHARDS = 8
 FIRST_BITS = 12
@@ -144,10 +144,10 @@ def assign(docs: DataFrame, key: Column, size: Column, shards: int = SHARDS) ->
     total = groups.agg(F.sum("n")).first()[0] or 0
     starts = bounds(groups, shards)[1] if total else []
     shard = sum((F.col("key") >= F.lit(start)).cast("int") for start in starts) if starts else F.lit(0)
-    place = F.xxhash64("doc_id", "key")
-    placed = rows.withColumns(
-        {"shard": shard, "place": place, "bucket": F.pmod(place, F.lit(root_buckets(total)))}
-    )
+    names = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in ("doc_id", "key")]
+    place = hashed_key(F.concat_ws(":", F.lit("slot"), *names))
+    placed = rows.withColumn("shard", shard).withColumn("place", place)
+    placed = placed.withColumn("bucket", bucket_of(F.col("place"), root_buckets(total)))
     counts = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
