@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,9 @@ from pyspark.sql.types import StructType
 MODES = ("append", "overwrite", "ignore", "error")
 BY_SNAPSHOT = ("snapshot",)
 
+# The folder of the innermost scratch block, if there is one.
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
 
 def counted(result: DataFrame, observation: Observation) -> DataFrame:
     """The same rows, counted while an action runs; no second job is needed.
@@ -79,12 +84,16 @@ def overwrite_snapshots(result: DataFrame, path: str, observation: Observation |
 
 def drop_snapshots(spark: SparkSession, path: str, snapshots: Iterable[str]) -> None:
     """Deletes the folders of these snapshots, if there are any, and nothing else."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     for snapshot in snapshots:
-        folder = hadoop.Path(f"{path.rstrip('/')}/{BY_SNAPSHOT[0]}={snapshot}")
-        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if files.exists(folder):
-            files.delete(folder, True)
+        drop_folder(spark, f"{path.rstrip('/')}/{BY_SNAPSHOT[0]}={snapshot}")
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Deletes one folder with all it holds, if it exists."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(folder):
+        files.delete(folder, True)
 
 
 def read_parquet_result(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -112,15 +121,31 @@ def preview(result: DataFrame, rows: int = 1) -> DataFrame:
 
 
 def work_folder(spark: SparkSession, label: str) -> str:
-    """A new folder name in the shared folder of the cluster.
+    """A new folder name in the shared folder of the cluster, or in the folder of a ``scratch`` block.
 
     The cluster names that folder in ``spark.checkpoint.dir``. A local session
     without the setting gets a temporary folder; a cluster session without it
     is an error, since executors do not share a machine's own folders.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = _SCRATCH.get() or spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str = "scratch") -> Iterator[str]:
+    """Folders named by ``work_folder`` inside the block go when it ends, also after an error.
+
+    Frames are lazy: what must outlive the block has to be written, inside it, to a
+    folder named before it. A block inside another one ends first.
+    """
+    folder = work_folder(spark, label)
+    outer = _SCRATCH.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.reset(outer)
+        drop_folder(spark, folder)

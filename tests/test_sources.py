@@ -1,4 +1,5 @@
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import Observation
@@ -175,6 +176,30 @@ def test_work_folder_without_the_setting():
     assert sinks.work_folder(FakeSession(shared), "x").startswith("hdfs://host/shared/x-")
 
 
+def test_scratch_folders_go_with_their_block(spark):
+    kept = sinks.work_folder(spark, "kept")
+    with sinks.scratch(spark, "run") as outer:
+        one = sinks.work_folder(spark, "one")
+        spark.range(3).write.parquet(one)
+        with sinks.scratch(spark) as inner:
+            two = sinks.work_folder(spark, "two")
+            spark.read.parquet(one).write.parquet(two)
+            spark.read.parquet(two).write.parquet(kept)
+        assert one.startswith(outer) and inner.startswith(outer) and two.startswith(inner)
+        assert Path(one).exists() and not Path(inner).exists()
+    assert not Path(outer).exists() and spark.read.parquet(kept).count() == 3
+    assert not sinks.work_folder(spark, "after").startswith(outer)
+    with pytest.raises(ZeroDivisionError), sinks.scratch(spark) as failed:
+        spark.range(1).write.parquet(sinks.work_folder(spark, "x"))
+        1 / 0  # noqa: B018
+    assert not Path(failed).exists()
+    with sinks.scratch(spark):
+        pass
+    sinks.drop_folder(spark, kept)
+    sinks.drop_folder(spark, kept)
+    assert not Path(kept).exists()
+
+
 def test_a_rerun_drops_the_emptied_dates_of_its_calendar(spark, folder):
     one = lambda custno, date: (custno, *OLD[0][1:-1], date)
     first = [one("a", date) for date in ("13960101", "13960102", "13960201")]
