@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deposit_analytics.sources import sinks
@@ -27,6 +28,23 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def committed(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> tuple[DataFrame, str]:
+    """Stores the frame that ``build`` returns; returns it, read back, and its folder.
+
+    Whatever ``build`` stored on the way goes once the result is committed, or
+    when the job fails; a failed job's own half-written result goes too.
+    """
+    folder = sinks.work_folder(spark, label)
+    try:
+        with sinks.scratch(spark, f"{label}-scratch"):
+            frame = build()
+            frame.write.parquet(folder)
+    except BaseException:
+        sinks.drop_folder(spark, folder)
+        raise
+    return spark.read.schema(frame.schema).parquet(folder), folder
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; none for NULL."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
