@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deposit_analytics.llm import chosen_path, decontamination, language_id, mixing, sharding
-from deposit_analytics.llm.common import stored, word_count
+from deposit_analytics.llm.common import committed, word_count
+from deposit_analytics.sources import sinks
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +63,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over ``documents``; each result is written and read again.
+
+    Only the last result stays in the shared folder: a stage's own tables go when it
+    is committed, and its predecessor's result with them.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES:
+        docs, folder = committed(spark, name, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
+        if before:
+            sinks.drop_folder(spark, before)
+        before = folder
+    return docs
