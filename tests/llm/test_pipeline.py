@@ -1,13 +1,15 @@
 """The pipeline's stages against their plain versions, each on its own input."""
 
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
-from deposit_analytics.llm.common import stored
+from deposit_analytics.llm.common import committed, stored
+from deposit_analytics.sources import sinks
 
 SF = "/root/testdata/sf0.001"
 
@@ -60,6 +62,22 @@ def test_stages_return_the_columns_of_documents(spark, results):
         assert rows[0].__fields__ == names
 
 
+def test_a_run_equals_its_stages_and_leaves_only_its_result(spark, results):
+    with sinks.scratch(spark) as folder:
+        out = corpus_pipeline.run(spark, SF)
+        assert Counter(map(tuple, out.collect())) == Counter(map(tuple, results[5]))
+        left = [one.name for one in Path(folder).iterdir()]
+    assert len(left) == 1 and left[0].startswith("sharding-")
+
+
+def test_a_failed_job_leaves_nothing(spark):
+    with sinks.scratch(spark) as folder:
+        with pytest.raises(Exception, match="never"):
+            committed(spark, "job", lambda: stored(spark.range(9), "on_the_way").select(F.raise_error(F.lit("never"))))
+        empty, kept = committed(spark, "job", lambda: stored(spark.range(0), "on_the_way"))
+        assert empty.count() == 0 and [str(one) for one in Path(folder).iterdir()] == [kept]
+
+
 def test_odd_rows_and_clashing_columns_pass_every_stage(spark):
     """Ids repeated and missing, texts repeated, empty and very long, columns that the stages use themselves."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
