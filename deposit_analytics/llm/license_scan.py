@@ -103,6 +103,16 @@ def templates(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(rows.alias("row")).select("row.*")
 
 
+def templates_from(spark: SparkSession, folder: str) -> DataFrame:
+    """license_id, text of the files in a folder of license texts, of any length.
+
+    A file is one template, named as the file without ``.txt``. Files whose names
+    begin with a dot or an underscore are left out, as by every reader.
+    """
+    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.txt$", "")
+    return spark.read.text(folder, wholetext=True).select(name.alias("license_id"), F.col("value").alias("text"))
+
+
 def word_hashes(text: Column) -> Column:
     """Hashes of the runs of letters and digits of a text, in lower case."""
     words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")

@@ -1,4 +1,7 @@
 import random
+from pathlib import Path
+
+import pytest
 
 import brute
 from deposit_analytics.llm import license_scan
@@ -86,3 +89,47 @@ def test_common_licenses_are_told_apart(spark):
     for k, name in enumerate(texts):
         assert (k, name) in found
     assert not {(list(texts).index("AGPL-notice"), "GPL-notice"), (list(texts).index("LGPL-notice"), "GPL-notice")} & set(found)
+
+
+def edited(rng, text, every):
+    tokens = text.split()
+    for _ in range(len(tokens) // every):
+        tokens[rng.randrange(len(tokens))] = rng.choice(["edit", "two words", ""])
+    return " ".join(tokens)
+
+
+def test_templates_of_any_length_from_a_folder(spark, tmp_path):
+    rng = random.Random(5)
+    notices = {f"long-{size}.0": " ".join(f"w{rng.randrange(300)}" for _ in range(size)) for size in (3, 90, 700, 4000)}
+    notices["begins-alike"] = notices["long-4000.0"][:9000] + notices["long-700.0"]
+    for name, text in notices.items():
+        (tmp_path / f"{name}.txt").write_text(text.replace(" ", "\n") + "\n")
+    (tmp_path / "plain").write_text("a file without an ending of its name")
+    (tmp_path / "empty.txt").write_text("")
+    known = license_scan.templates_from(spark, str(tmp_path))
+    read = {r.license_id: " ".join(r.text.split()) for r in known.collect() if r.text}
+    assert read == {**notices, "plain": "a file without an ending of its name"}
+    rows = []
+    for text in notices.values():
+        for every in (10**6, 60, 30):
+            rows.append((len(rows), f"Copyright someone {edited(rng, text, every)} the end of it"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.license_id): round(r.containment, 6) for r in license_scan.find_licenses(docs, known).collect()}
+    assert got == want(rows, read)
+
+
+COMMON = Path("/usr/share/common-licenses")
+
+
+@pytest.mark.skipif(not COMMON.is_dir(), reason="no folder of license texts")
+def test_full_texts_of_common_licenses(spark):
+    rng = random.Random(6)
+    known = license_scan.templates_from(spark, str(COMMON))
+    texts = {r.license_id: r.text for r in known.collect()}
+    rows = []
+    for text in texts.values():
+        rows += [(len(rows) + k, f"Some words before. {edited(rng, text, every)} And behind.") for k, every in enumerate((10**6, 50))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.license_id): round(r.containment, 6) for r in license_scan.find_licenses(docs, known).collect()}
+    assert got == want(rows, texts)
+    assert {doc_id for doc_id, _ in got} >= set(range(0, len(rows), 2))
